@@ -1,0 +1,33 @@
+import uuid
+
+import pytest
+from pyspark.sql import SparkSession
+
+from tripmill.session import use_zone
+
+
+@pytest.fixture(scope="session")
+def session(tmp_path_factory):
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    yield spark
+    spark.stop()
+
+
+@pytest.fixture
+def spark(session):
+    use_zone(session)
+    return session
+
+
+@pytest.fixture
+def table_name():
+    return f"default.t_{uuid.uuid4().hex}"

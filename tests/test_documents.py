@@ -1,0 +1,161 @@
+"""The document sink and reader: routing, exclusion, repeat runs, refusals, patterns, exact values."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tripmill.operators import documents
+from tripmill.operators.documents import document_schema, route
+from tripmill.session import held_settings, use_zone
+from tripmill.sources.documents import read_documents
+
+TEMPLATE = "taxi-{date}"
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "documents")
+
+
+@pytest.fixture
+def base(spark):
+    return spark.createDataFrame(
+        [(1, "x", "2024-01-01"), (2, None, "2024-01-01"), (3, "z", "2024-01-02")], "a int, b string, date string"
+    )
+
+
+def read(spark, df, root, exclude=("date",), pattern="*"):
+    return read_documents(spark, root, document_schema(df.schema, exclude), pattern)
+
+
+def content(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+DOCS = [(1, "x", "taxi-2024-01-01"), (2, None, "taxi-2024-01-01"), (3, "z", "taxi-2024-01-02")]
+
+
+@pytest.mark.parametrize("cluster", [True, False])
+def test_rows_go_to_the_index_of_their_day(spark, base, root, cluster):
+    result = documents.write(base, root, TEMPLATE, exclude=["date"], cluster=cluster)
+    assert result.rows == 3
+    assert content(read(spark, base, root)) == DOCS
+
+
+def test_excluded_and_null_fields_are_not_stored(spark, base, root):
+    documents.write(base, root, TEMPLATE, exclude=["DATE"])
+    lines = sorted(line for path in Path(root).rglob("*.json") for line in path.read_text().splitlines())
+    assert lines == ['{"a":1,"b":"x"}', '{"a":2}', '{"a":3,"b":"z"}']
+
+
+def test_append_adds_again_and_replace_swaps_touched_indices(spark, base, root):
+    with held_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "STATIC"}):
+        documents.write(base, root, TEMPLATE, exclude=["date"])
+        documents.write(base, root, TEMPLATE, exclude=["date"])
+        assert content(read(spark, base, root)) == sorted(DOCS * 2, key=repr)
+        documents.write(base.where("a = 3"), root, TEMPLATE, exclude=["date"], mode="replace")
+    assert content(read(spark, base, root)) == sorted([*DOCS[:2] * 2, DOCS[2]], key=repr)
+
+
+def test_unknown_mode_is_refused(base, root):
+    with pytest.raises(ValueError, match="mode"):
+        documents.write(base, root, TEMPLATE, mode="overwrite")
+
+
+def test_null_route_fails_with_nothing_visible(spark, base, root):
+    rows = base.unionAll(spark.sql("select 4, 'w', cast(null as string)"))
+    with pytest.raises(PySparkException, match="no value for a field of index template"):
+        documents.write(rows, root, TEMPLATE, exclude=["date"])
+    assert not list(Path(root).rglob("*.json"))
+    assert not list(Path(root).rglob("_SUCCESS"))
+
+
+def test_null_route_to_a_named_index(spark, base, root):
+    rows = base.unionAll(spark.sql("select 4, 'w', cast(null as string)"))
+    documents.write(rows, root, TEMPLATE, exclude=["date"], null_index="taxi-unknown")
+    assert content(read(spark, base, root)) == sorted([*DOCS, (4, "w", "taxi-unknown")], key=repr)
+
+
+@pytest.mark.parametrize(
+    ("template", "expected"),
+    [
+        ("taxi-{date}", "taxi-2024-01-01"),
+        ("{B}.{a}-{date}-end", "x.1-2024-01-01-end"),
+        ("{a}", "1"),
+        ("fixed", "fixed"),
+        ("{{{b}}}", "{x}"),
+        ("50%_{a}", "50%_1"),
+    ],
+)
+def test_templates(base, template, expected):
+    assert base.where("a = 1").select(route(base, template)).first()[0] == expected
+
+
+@pytest.mark.parametrize("template", ["taxi-{day}", "taxi-{}", "taxi-{a:>3}", "taxi-{a!r}", ""])
+def test_templates_that_are_refused(base, template):
+    with pytest.raises(ValueError, match="template"):
+        route(base, template)
+
+
+def test_a_field_named_like_the_index_column_is_refused_unless_excluded(spark, base, root):
+    rows = base.withColumn("Index", F.lit("mine"))
+    with pytest.raises(ValueError, match="index"):
+        documents.write(rows, root, TEMPLATE)
+    documents.write(rows, root, "{Index}-{date}", exclude=["Index", "date"])
+    assert {r["index"] for r in read(spark, base, root).collect()} == {"mine-2024-01-01", "mine-2024-01-02"}
+
+
+def test_pattern(spark, base, root):
+    rows = base.withColumn("date", F.concat(F.lit("2024_0"), "a"))
+    documents.write(rows, root, TEMPLATE, exclude=["date"])
+
+    def indices(pattern):
+        return {r["index"] for r in read(spark, base, root, pattern=pattern).collect()}
+
+    assert indices("taxi-*") == {"taxi-2024_01", "taxi-2024_02", "taxi-2024_03"}
+    assert indices("*_02") == {"taxi-2024_02"}
+    assert indices("taxi-2024_03") == {"taxi-2024_03"}
+    assert indices("taxi-2024-0*") == set()
+    assert indices("taxi%") == set()
+
+
+def test_odd_characters_in_routing_values(spark, base, root):
+    rows = base.withColumn("date", F.concat(F.lit("a/b:c=%"), "a"))
+    documents.write(rows, root, TEMPLATE, exclude=["date"])
+    assert {r["index"] for r in read(spark, base, root).collect()} == {f"taxi-a/b:c=%{i}" for i in (1, 2, 3)}
+
+
+def test_values_come_back_exactly_under_another_zone(spark, root):
+    use_zone(spark, "America/New_York")
+    rows = spark.range(1000).selectExpr(
+        "timestamp_micros(1383456600123456 + id * 7234567) as ts",  # over the hour that occurs twice
+        "timestamp_ntz'2024-01-01 00:00:00.000001' as local",
+        "id / 7D as d",
+        "date'2024-01-01' as day",
+        "array(named_struct('p q', id)) as nested",
+        "cast(id as decimal(30, 10)) as dec",
+        "cast(id % 3 as string) as k",
+    )
+    documents.write(rows, root, "i-{k}")
+    use_zone(spark, "Asia/Kolkata")
+    back = read(spark, rows, root, exclude=()).drop("index")
+    assert back.dtypes == rows.dtypes
+    assert back.count() == 1000
+    assert back.exceptAll(rows).isEmpty()
+
+
+def test_empty_input(spark, base, root):
+    documents.write(base, root, TEMPLATE, exclude=["date"])
+    for mode in ("append", "replace"):
+        assert documents.write(base.where("a > 9"), root, TEMPLATE, exclude=["date"], mode=mode).rows == 0
+    assert content(read(spark, base, root)) == DOCS
+
+
+def test_hot_index_is_split_and_whole(spark, root):
+    rows = spark.range(0, 100_000, 1, 32).selectExpr("id as a", "if(id % 3 = 0, 'hot', cast(id % 10 as string)) as k")
+    with held_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB"}):
+        assert documents.write(rows, root, "i-{k}").rows == 100_000
+    assert len(list(Path(root).glob("index=i-hot/*.json"))) >= 4
+    assert read(spark, rows, root, exclude=()).drop("index").exceptAll(rows).isEmpty()

@@ -1,0 +1,113 @@
+"""Derived columns: golden rows, floors, nulls, and time zones."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.functions.trips import enrich, with_date
+from tripmill.plans.dashboards import average_duration_by_weekday, trips_per_hour
+from tripmill.schema import ENRICHED, TABLE
+from tripmill.session import use_zone
+
+# Five known trips, `\N` for a null.
+TRIPS = r"""
+VTS,2014-01-31 04:09:00,2014-01-31 04:25:00,1,5.19,-73.963352,40.711287,1,\N,-73.95489,40.6993,CSH,17.5,0.5,0.5,0.0,0.0,18.5,2014-01-31
+CMT,2014-01-31 00:56:12,2014-01-31 00:58:57,1,0.7,-73.972699,40.764493,1,N,-73.982041,40.762678,CRD,4.5,0.5,0.5,0.75,0.0,6.25,2014-01-31
+VTS,2014-01-31 04:29:00,2014-01-31 04:35:00,2,1.13,-73.962362,40.760587,1,\N,-73.973742,40.75613,CRD,6.0,0.5,0.5,1.62,0.0,8.62,2014-01-31
+CMT,2014-01-31 00:30:12,2014-01-31 00:35:07,1,1.4,-73.963331,40.77485,1,N,-73.98143,40.774473,CRD,7.0,0.5,0.5,1.0,0.0,9.0,2014-01-31
+VTS,2014-01-31 04:15:00,2014-01-31 04:34:00,2,6.72,-74.00495,40.728927,1,\N,-73.952832,40.783375,CRD,22.0,0.5,0.5,4.5,0.0,27.5,2014-01-31
+""".split("\n")[1:-1]
+
+
+@pytest.fixture
+def trips(spark, tmp_path):
+    path = tmp_path / "trips.csv"
+    path.write_text("\n".join(TRIPS))
+    return spark.read.schema(TABLE).option("nullValue", r"\N").csv(str(path))
+
+
+def test_golden_rows(trips):
+    rows = trips.transform(enrich).orderBy("dropoff_datetime").collect()
+    derived = [(r.timestamp, r.pickup_week_day, r.pickup_hour, r.duration) for r in rows]
+    assert derived == [
+        ("2014-01-31T00:30:12.000+0000", "Friday", 0, 4.916666666666667),
+        ("2014-01-31T00:56:12.000+0000", "Friday", 0, 2.75),
+        ("2014-01-31T04:09:00.000+0000", "Friday", 4, 16.0),
+        ("2014-01-31T04:15:00.000+0000", "Friday", 4, 19.0),
+        ("2014-01-31T04:29:00.000+0000", "Friday", 4, 6.0),
+    ]
+
+
+def test_enriched_schema_and_unchanged_input(trips):
+    enriched = enrich(trips)
+    assert enriched.schema == ENRICHED
+    assert enriched.select(*trips.columns).exceptAll(trips).isEmpty()
+
+
+def test_friday_count(trips):
+    assert enrich(trips).where(F.col("pickup_week_day") == "Friday").count() == 5
+
+
+def test_date_matches_the_given_one(trips):
+    again = with_date(trips.withColumnRenamed("date", "given"))
+    assert again.where(F.col("date") != F.col("given")).isEmpty()
+    assert again.where(F.col("date").isNull()).isEmpty()
+
+
+def test_dashboards(trips):
+    enriched = enrich(trips)
+    assert {r.pickup_hour: r.n for r in trips_per_hour(enriched).collect()} == {0: 2, 4: 3}
+    [friday] = average_duration_by_weekday(enriched).collect()
+    assert friday.pickup_week_day == "Friday"
+    assert friday.avg_duration == pytest.approx(9.733333333333334)
+
+
+def _one(spark, pickup, dropoff):
+    frame = spark.sql(
+        "select cast(:p as timestamp) as pickup_datetime, cast(:d as timestamp) as dropoff_datetime",
+        args={"p": pickup, "d": dropoff},
+    )
+    return frame.transform(with_date).transform(enrich).first()
+
+
+@pytest.mark.parametrize(
+    ("pickup", "dropoff", "minutes"),
+    [
+        ("2014-01-31 10:00:00.999", "2014-01-31 10:01:00.001", 1.0),  # both ends cut to seconds
+        ("2014-01-31 10:00:00.001", "2014-01-31 10:00:00.999", 0.0),
+        ("2014-01-31 10:01:30", "2014-01-31 10:00:00", -1.5),
+        ("1969-12-31 23:59:58.500", "1970-01-01 00:00:00.500", 1 / 60),  # before 1970 the cut goes up
+        (None, "2014-01-31 10:00:00", None),
+        ("2014-01-31 10:00:00", None, None),
+    ],
+)
+def test_duration(spark, pickup, dropoff, minutes):
+    assert _one(spark, pickup, dropoff).duration == minutes
+
+
+def test_no_pickup_gives_nulls(spark):
+    row = _one(spark, None, "2014-01-31 10:00:00")
+    assert (row.date, row.timestamp, row.pickup_week_day, row.pickup_hour) == (None,) * 4
+
+
+def test_new_york(spark):
+    use_zone(spark, "America/New_York")
+    row = _one(spark, "2014-03-09 01:50:00", "2014-03-09 03:10:00")  # clocks jump from 2 to 3
+    assert row.duration == 20.0
+    assert row.timestamp == "2014-03-09T01:50:00.000-0500"
+    assert (row.date, row.pickup_week_day, row.pickup_hour) == ("2014-03-09", "Sunday", 1)
+    summer = _one(spark, "2014-07-01 23:30:00.123456", "2014-07-02 00:00:00")
+    assert summer.timestamp == "2014-07-01T23:30:00.123-0400"
+
+
+def test_instant_shown_in_two_zones(spark):
+    instant = spark.createDataFrame([(datetime(2014, 1, 31),)], "x timestamp").select(
+        F.timestamp_seconds(F.lit(1391138100)).alias("pickup_datetime"),
+        F.lit(None).cast("timestamp").alias("dropoff_datetime"),
+    )
+    utc = instant.transform(with_date).transform(enrich).first()
+    use_zone(spark, "America/New_York")
+    york = instant.transform(with_date).transform(enrich).first()
+    assert (utc.date, utc.pickup_hour, utc.pickup_week_day) == ("2014-01-31", 3, "Friday")
+    assert (york.date, york.pickup_hour, york.pickup_week_day) == ("2014-01-30", 22, "Thursday")
