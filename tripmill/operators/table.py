@@ -4,7 +4,6 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -59,18 +58,16 @@ def attach(
 ) -> bool:
     """Enter the table an earlier session wrote at ``location`` into this session's catalog.
 
-    Needed only where the catalog does not outlive a session. False if there is nothing at the
-    location. Without ``schema`` the columns are merged from the file footers, a Spark job over all
+    Needed only where the catalog does not outlive a session. False if the location does not
+    exist. Without ``schema`` the columns are merged from the file footers, a Spark job over all
     files; pass it where there are many.
     """
-    try:
+    if not _exists(spark, location):
+        return False
+    if schema is None:
         with held_settings(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-            found = spark.read.option("mergeSchema", schema is None).parquet(location).schema
-    except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    _run(spark, create_ddl(name, schema or found, partition_by, location))
+            schema = spark.read.option("mergeSchema", True).parquet(location).schema
+    _run(spark, create_ddl(name, schema, partition_by, location))
     _run(spark, f"MSCK REPAIR TABLE {quote_table(name)}")
     return True
 
@@ -145,6 +142,11 @@ def _check_partitioning(spark: SparkSession, table: str, partition_by: Sequence[
         raise ValueError(f"{table} is partitioned by {actual}, not by {list(partition_by)}")
 
 
+def _exists(spark: SparkSession, location: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def _run(spark: SparkSession, statement: str) -> None:
     log.info("running %s", statement)
     spark.sql(statement)

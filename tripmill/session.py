@@ -38,16 +38,18 @@ def held_settings(spark: SparkSession, settings: Mapping[str, str] = WRITE_SETTI
     Writes of one session may overlap in threads. The first one in remembers the caller's value and
     the last one out restores it, so no write sees dynamic overwrite switched off while it runs.
     """
-    with _lock:
-        for key, value in settings.items():
-            entry = _held.setdefault((id(spark), key), [0, spark.conf.get(key, None)])
-            entry[0] += 1
-            spark.conf.set(key, value)
+    entered = []
     try:
+        with _lock:
+            for key, value in settings.items():
+                before = spark.conf.get(key, None)
+                spark.conf.set(key, value)
+                _held.setdefault((id(spark), key), [0, before])[0] += 1
+                entered.append(key)
         yield
     finally:
         with _lock:
-            for key in settings:
+            for key in entered:
                 entry = _held[(id(spark), key)]
                 entry[0] -= 1
                 if entry[0] == 0:
