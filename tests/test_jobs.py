@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tripmill.functions.trips import enrich
+from tripmill.operators import documents
 from tripmill.operators.documents import document_schema
 from tripmill.plans import jobs
 from tripmill.schema import TABLE, TRIP
@@ -112,6 +113,18 @@ def test_process_in_a_session_that_does_not_know_the_table(spark, csv, table_nam
     assert jobs.process(spark, str(tmp_path / "documents"), table_name, location=location).rows == 2
 
 
+def test_process_shuffles_only_if_the_table_is_not_laid_out_by_the_route(spark, csv, table_name, tmp_path):
+    jobs.dump(spark, csv(*GOOD, *GOOD), table_name)
+    shuffled = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(documents, "cluster_by", lambda df, *names: shuffled.append(names) or df)
+        for template, cluster in [("taxi-{DATE}", None), ("{vendor_id}-{date}", None), ("all", None), ("{date}", True)]:
+            jobs.process(spark, str(tmp_path / "documents"), table_name, template=template, cluster=cluster)
+            shuffled.append(template)
+    assert shuffled == ["taxi-{DATE}", ("index",), "{vendor_id}-{date}", "all", ("index",), "{date}"]
+    assert documents_of(spark, table_name, str(tmp_path / "documents")).count() == 16
+
+
 def test_header_check(spark, tmp_path, table_name):
     path = tmp_path / "other.csv"
     path.write_text("a,b\n1,2\n")
@@ -135,6 +148,6 @@ def test_scratch_is_in_the_shared_folder_if_one_is_named():
 def test_a_setting_that_cannot_be_set_leaves_the_others_as_they_were(spark):
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
-    with pytest.raises(PySparkException), held_settings(spark, {mode: "dynamic", "spark.master": "x"}):
+    with pytest.raises(PySparkException), held_settings(spark, {mode: "dynamic", "spark.sql.warehouse.dir": "x"}):
         pass
     assert spark.conf.get(mode) == before

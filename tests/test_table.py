@@ -1,6 +1,8 @@
 """The table writer: creation, growth, what is replaced and what is not, refusals, file layout."""
 
+import random
 import threading
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -326,15 +328,44 @@ def test_hot_day_is_split_and_whole(spark, table_name):
         "id as a",
         "if(id % 2 = 0, '2024-01-15', date_format(date_add(date'2024-01-01', cast(id % 14 as int)), 'yyyy-MM-dd')) as date",
     )
-    # Enough shuffle partitions that no other day shares one with the hot day.
-    settings = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "500",
-    }
-    with held_settings(spark, settings):
+    with held_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB"}):
         assert table.write(rows, table_name).rows == 200_000
     per_day = {day: len(names) for day, names in files(spark, table_name).items()}
     assert per_day.pop("date=2024-01-15") >= 4
     assert set(per_day.values()) == {1}
     assert spark.table(table_name).exceptAll(rows).isEmpty()
     assert rows.exceptAll(spark.table(table_name)).isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_writes_against_a_model(spark, table_name, seed):
+    """Batches with changing columns, case and days; the model keeps a list of rows per day."""
+    rng = random.Random(seed)
+    days = ["2024-01-01", "2024-01-02", "2024-01-03", None]
+    model, columns = {}, []
+    for _ in range(5):
+        names = ["a", *rng.sample(["b", "c", "d"], rng.randint(0, 3))]
+        rng.shuffle(names)
+        touched = rng.sample(days, rng.randint(0, 3))
+        rows = [
+            {**{n: rng.choice([None, rng.randint(0, 9)]) for n in names}, "date": day}
+            for day in touched
+            for _ in range(rng.randint(1, 5))
+        ]
+        spelled = [n.upper() if rng.random() < 0.5 else n for n in [*names, "date"]]
+        batch = spark.createDataFrame(
+            [tuple(row[n.lower()] for n in spelled) for row in rows],
+            ", ".join(f"{n} {'string' if n.lower() == 'date' else 'int'}" for n in spelled),
+        )
+        result = table.write(batch, table_name, cluster=rng.random() < 0.5)
+        fresh = [n for n in names if n not in columns]
+        assert (result.rows, result.created) == (len(rows), not columns)
+        assert [n.lower() for n in result.added_columns] == (fresh if columns else [])
+        columns += fresh
+        for day in touched:
+            model[day] = [row for row in rows if row["date"] == day]
+        expected = Counter(
+            (*[row.get(n) for n in columns], row["date"]) for kept in model.values() for row in kept
+        )
+        assert [n.lower() for n in spark.table(table_name).columns] == [*columns, "date"]
+        assert Counter(tuple(r) for r in spark.table(table_name).collect()) == expected

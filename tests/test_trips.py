@@ -97,6 +97,10 @@ def test_new_york(spark):
     assert row.duration == 20.0
     assert row.timestamp == "2014-03-09T01:50:00.000-0500"
     assert (row.date, row.pickup_week_day, row.pickup_hour) == ("2014-03-09", "Sunday", 1)
+    local = spark.sql(
+        "select timestamp_ntz'2014-03-09 01:50:00' as pickup_datetime, timestamp_ntz'2014-03-09 03:10:00' as dropoff_datetime"
+    )
+    assert local.transform(enrich).first().duration == 20.0
     summer = _one(spark, "2014-07-01 23:30:00.123456", "2014-07-02 00:00:00")
     assert summer.timestamp == "2014-07-01T23:30:00.123-0400"
 

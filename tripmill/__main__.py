@@ -1,21 +1,31 @@
-"""Run a job: ``spark-submit`` this module's package with ``dump`` or ``process``."""
+"""Run a job (``dump``, ``process``) or a SQL text over the table (``sql``)."""
 
 import argparse
 import logging
 
 from pyspark.sql import SparkSession
 
+from tripmill.operators import table
 from tripmill.plans import jobs
-from tripmill.schema import INDEX_TEMPLATE, TRIP_TABLE
+from tripmill.schema import INDEX_EXCLUDES, INDEX_TEMPLATE, TRIP_TABLE
+from tripmill.session import use_zone
 
 
-def main() -> None:
+# How much a write task takes, and so the size of a file; large files still fit a task's memory.
+TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tripmill", description="Batch jobs over trip records.")
     parser.add_argument("--hive", action="store_true", help="use the Hive catalog the cluster configures")
     parser.add_argument("--zone", help="session time zone, UTC by default")
     parser.add_argument("--table", default=TRIP_TABLE)
     parser.add_argument("--location", help="where the table's files are, if not in the warehouse")
-    parser.add_argument("--no-cluster", dest="cluster", action="store_false", help="write without a shuffle")
+    parser.add_argument(
+        "--cluster",
+        action=argparse.BooleanOptionalAction,
+        help="shuffle before writing; by default done where the input is not laid out as the output",
+    )
     commands = parser.add_subparsers(dest="command", required=True)
 
     dump = commands.add_parser("dump", help="CSV into the date-partitioned table")
@@ -26,20 +36,36 @@ def main() -> None:
     process = commands.add_parser("process", help="the table into per-day documents")
     process.add_argument("root")
     process.add_argument("--template", default=INDEX_TEMPLATE)
-    process.add_argument("--exclude", nargs="*", default=["date"])
+    process.add_argument("--exclude", nargs="*", default=list(INDEX_EXCLUDES))
     process.add_argument("--mode", choices=["append", "replace"], default="append")
     process.add_argument("--null-index", help="index for rows the template has a null for; they fail the job otherwise")
 
-    args = parser.parse_args()
+    sql = commands.add_parser("sql", help="show the result of a SQL text")
+    sql.add_argument("text")
+    sql.add_argument("--rows", type=int, default=100, help="show at most this many")
+
+    args = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     builder = SparkSession.builder.appName(f"tripmill {args.command}")
-    # Size of a write task: large files, still small enough to sort in memory.
-    builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
     spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
-    common = {"location": args.location, "cluster": args.cluster, "zone": args.zone}
+    if spark.conf.get(TASK_SIZE, None) is None:
+        spark.conf.set(TASK_SIZE, "256m")
+    if args.command == "sql":
+        use_zone(spark, args.zone)
+        if args.location is not None:
+            table.attach(spark, args.table, args.location)
+        spark.sql(args.text).show(args.rows, truncate=False)
+        return
+    common = {"location": args.location, "zone": args.zone}
     if args.command == "dump":
         result = jobs.dump(
-            spark, args.csv, args.table, rejects_path=args.rejects, check_header=args.check_header, **common
+            spark,
+            args.csv,
+            args.table,
+            rejects_path=args.rejects,
+            check_header=args.check_header,
+            cluster=args.cluster is not False,
+            **common,
         )
     else:
         result = jobs.process(
@@ -50,10 +76,10 @@ def main() -> None:
             exclude=args.exclude,
             mode=args.mode,
             null_index=args.null_index,
+            cluster=args.cluster,
             **common,
         )
     print(result)
-    spark.stop()
 
 
 if __name__ == "__main__":

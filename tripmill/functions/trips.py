@@ -16,12 +16,12 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 def with_date(df: DataFrame) -> DataFrame:
     """Add ``date``, the pickup day in the session zone (null where there is no pickup)."""
-    return df.withColumn("date", F.date_format("pickup_datetime", DAY_FORMAT))
+    return df.withColumn("date", F.date_format(_instant("pickup_datetime"), DAY_FORMAT))
 
 
 def enrich(df: DataFrame) -> DataFrame:
     """Add ISO time, weekday, hour and duration; use it as ``df.transform(enrich)``."""
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    pickup, dropoff = _instant("pickup_datetime"), _instant("dropoff_datetime")
     return df.withColumns(
         {
             "timestamp": F.date_format(pickup, ISO_FORMAT),
@@ -30,3 +30,8 @@ def enrich(df: DataFrame) -> DataFrame:
             "duration": minutes_between(pickup, dropoff),
         }
     )
+
+
+def _instant(name: str) -> Column:
+    # Local timestamps become instants of the session zone: minutes over a clock change are real ones.
+    return F.col(name).cast("timestamp")

@@ -20,6 +20,11 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 LOCAL_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+def template_fields(template: str) -> set[str]:
+    """The lower-cased names of the columns a template draws on."""
+    return {name.lower() for _, name in _parse(template) if name is not None}
+
+
 def route(df: DataFrame, template: str, null_index: str | None = None) -> Column:
     """Turn a template such as ``taxi-{date}`` into a column holding each row's index name.
 
@@ -28,13 +33,13 @@ def route(df: DataFrame, template: str, null_index: str | None = None) -> Column
     """
     have = by_lower_name(df.columns)
     parts: list[Column] = []
-    for text, name, spec, conversion in string.Formatter().parse(template):
+    for text, name in _parse(template):
         if text:
             parts.append(F.lit(text))
         if name is None:
             continue
-        if spec or conversion or name.lower() not in have:
-            raise ValueError(f"template {template!r}: {{{name}}} must be a plain column of the input")
+        if name.lower() not in have:
+            raise ValueError(f"template {template!r}: the input has no column {name!r}")
         parts.append(column(have[name.lower()]).cast("string"))
     if not parts:
         raise ValueError("the index template is empty")
@@ -90,3 +95,10 @@ def write(
             .json(root)
         )
     return WriteResult(root, written.get["rows"])
+
+
+def _parse(template: str) -> list[tuple[str, str | None]]:
+    parts = list(string.Formatter().parse(template))
+    if any(spec or conversion for _, _, spec, conversion in parts):
+        raise ValueError(f"template {template!r}: a field is a plain column name in braces")
+    return [(text, name) for text, name, _, _ in parts]

@@ -5,6 +5,11 @@ from pyspark.sql import DataFrame
 from tripmill.functions.names import quote
 
 
+# Enough shuffle partitions that two keys, such as two days, seldom share one. When a partition that
+# holds a hot key is cut up, every other key in it is cut up as well. Those left small are merged.
+LEAST_PARTITIONS = 2000
+
+
 def cluster(df: DataFrame, *columns: str) -> DataFrame:
     """Bring equal keys together for a partitioned write: few files per key, written in parallel.
 
@@ -13,4 +18,5 @@ def cluster(df: DataFrame, *columns: str) -> DataFrame:
     tasks and files as it needs, so one hot day never ends in one task. The hash is on the key
     columns alone, thus a task that is run again after an executor is lost gives the same rows.
     """
-    return df.hint("rebalance", *[quote(name) for name in columns])
+    partitions = max(LEAST_PARTITIONS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance", partitions, *[quote(name) for name in columns])

@@ -69,17 +69,23 @@ def process(
     location: str | None = None,
     mode: Literal["append", "replace"] = "append",
     null_index: str | None = None,
-    cluster: bool = True,
+    cluster: bool | None = None,
     zone: str | None = None,
 ) -> WriteResult:
     """The table's trips, enriched, into one document index per day.
 
-    ``location`` is needed only if this session's catalog does not know the table yet.
+    ``location`` is needed only if this session's catalog does not know the table yet. The table is
+    read in the order of its partitions, so its rows are shuffled by index only if the template draws
+    on other columns than those; ``cluster`` decides otherwise.
     """
     use_zone(spark, zone)
     if location is not None and not spark.catalog.tableExists(quote_table(table_name)):
         table.attach(spark, table_name, location)
-    trips = spark.table(quote_table(table_name)).transform(enrich)
+    name = quote_table(table_name)
+    if cluster is None:
+        partitioned_by = {c.name.lower() for c in spark.catalog.listColumns(name) if c.isPartition}
+        cluster = not documents.template_fields(template) <= partitioned_by
+    trips = spark.table(name).transform(enrich)
     return documents.write(
         trips, root, template, exclude=exclude, mode=mode, null_index=null_index, cluster=cluster
     )

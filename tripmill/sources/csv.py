@@ -1,5 +1,8 @@
 """Headered CSV with a declared schema; bad cells become nulls, and can be reported."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -42,7 +45,9 @@ def read_csv(
     """
     if check_header:
         _compare_header(spark, path, schema)
-    return spark.read.schema(schema).option("header", True).csv(path)
+    # The zone of this moment, also if the session's changes before the frame is used.
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    return spark.read.schema(schema).option("header", True).option("timeZone", zone).csv(path)
 
 
 def read_checked_csv(
@@ -69,15 +74,16 @@ def read_checked_csv(
         *[_cell(column(f.name), f.dataType).alias(f.name) for f in schema],
         F.struct(*[column(n) for n in [*schema.names, BEYOND]]).alias(RAW),
     )
-    flags = [
-        F.when(F.col(RAW)[f.name].isNotNull() & column(f.name).isNull(), F.lit(f.name))
+    bad = {
+        f.name: F.col(RAW)[f.name].isNotNull() & column(f.name).isNull()
         for f in schema
         if not isinstance(f.dataType, StringType)
-    ]
-    flags.append(F.when(F.col(RAW)[BEYOND].isNotNull(), F.lit(BEYOND)))
-    return typed.select(
-        *[column(n) for n in schema.names], F.array_compact(F.array(*flags)).alias(BAD_CELLS), RAW
-    )
+    }
+    bad[BEYOND] = F.col(RAW)[BEYOND].isNotNull()
+    names = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in bad.items()]))
+    # Most rows are good: ask that first, and only then put the names together.
+    bad_cells = F.when(reduce(or_, bad.values()), names).otherwise(F.array().cast("array<string>"))
+    return typed.select(*[column(n) for n in schema.names], bad_cells.alias(BAD_CELLS), RAW)
 
 
 def rows_of(checked: DataFrame) -> DataFrame:
