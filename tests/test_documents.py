@@ -124,7 +124,11 @@ def test_pattern(spark, base, root):
 def test_odd_characters_in_routing_values(spark, base, root):
     rows = base.withColumn("date", F.concat(F.lit("a/b:c=%"), "a"))
     documents.write(rows, root, TEMPLATE, exclude=["date"])
-    assert {r["index"] for r in read(spark, base, root).collect()} == {f"taxi-a/b:c=%{i}" for i in (1, 2, 3)}
+    names = {f"taxi-a/b:c=%{i}" for i in (1, 2, 3)}
+    for pattern in ("*", "taxi-*", "*a*b*", "taxi-a/b:c=%*"):
+        assert {r["index"] for r in read(spark, base, root, pattern=pattern).collect()} == names
+    # Written as %2F in the directory's name, which is no part of the index's name.
+    assert read(spark, base, root, pattern="taxi-*2F*").isEmpty()
 
 
 def test_values_come_back_exactly_under_another_zone(spark, root):

@@ -83,6 +83,7 @@ def test_pattern_prunes_indices(spark, trips_table, tmp_path, capfd):
     text = plan(found.select("trip_id"), capfd)
     assert re.search(r"PartitionFilters: \[.*StartsWith\(index#\d+, taxi-2024-01-1\)", text)
     assert "ReadSchema: struct<trip_id:bigint>" in text
+    assert re.search(r"Location: InMemoryFileIndex \[.*taxi-2024-01-1\d, \.\.\. 9 entries\]", text)
 
 
 def test_one_shuffle_on_the_key_for_a_write(spark, trips_table, capfd):
