@@ -3,6 +3,7 @@
 import random
 import threading
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -114,6 +115,22 @@ def test_overlapping_writes_keep_the_mode_until_the_last_is_done(spark):
         spark.conf.unset(MODE)
 
 
+def test_writes_in_threads_keep_the_days_they_do_not_hold(spark, base, table_name):
+    names = [f"{table_name}_{i}" for i in range(4)]
+    spark.conf.set(MODE, "STATIC")
+    try:
+        for name in names:
+            table.write(base, name)
+        with ThreadPoolExecutor(4) as pool:
+            one_day = base.where("date = '2024-01-02'").withColumn("a", F.lit(7))
+            assert [r.rows for r in pool.map(lambda name: table.write(one_day, name), names)] == [1] * 4
+        assert spark.conf.get(MODE) == "STATIC"
+    finally:
+        spark.conf.unset(MODE)
+    for name in names:
+        assert content(spark, name) == [*BASE[:2], (7, "z", "2024-01-02")]
+
+
 def test_new_column(spark, base, table_name):
     table.write(base, table_name)
     result = table.write(

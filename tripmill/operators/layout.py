@@ -5,9 +5,11 @@ from pyspark.sql import DataFrame
 from tripmill.functions.names import quote
 
 
-# Enough shuffle partitions that two keys, such as two days, seldom share one. When a partition that
-# holds a hot key is cut up, every other key in it is cut up as well. Those left small are merged.
-LEAST_PARTITIONS = 2000
+# Many, so that two keys, such as two days, seldom share a shuffle partition: where one holds a hot key,
+# the other keys in it are cut up too. Not more, because beyond 2000 Spark keeps only average block sizes
+# (spark.shuffle.minNumPartitionsToHighlyCompress), and adaptive execution would not see a hot key.
+# Partitions left small are merged.
+PARTITIONS = 2000
 
 
 def cluster(df: DataFrame, *columns: str) -> DataFrame:
@@ -18,5 +20,4 @@ def cluster(df: DataFrame, *columns: str) -> DataFrame:
     tasks and files as it needs, so one hot day never ends in one task. The hash is on the key
     columns alone, thus a task that is run again after an executor is lost gives the same rows.
     """
-    partitions = max(LEAST_PARTITIONS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.hint("rebalance", partitions, *[quote(name) for name in columns])
+    return df.hint("rebalance", PARTITIONS, *[quote(name) for name in columns])
