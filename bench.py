@@ -32,7 +32,7 @@ TRIPS = int(os.environ.get("BENCH_TRIPS", "14999999"))
 HEADLINES = [
     "csv_scan",
     "csv_quarantine",
-    "enrich_trips",
+    "enrich",
     "filter_weekday",
     "hour_count",
     "week_day_avg_duration",

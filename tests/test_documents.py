@@ -45,7 +45,7 @@ def test_rows_go_to_the_index_of_their_day(spark, base, root, cluster):
 
 
 def test_excluded_and_null_fields_are_not_stored(spark, base, root):
-    documents.write(base, root, TEMPLATE, exclude=["DATE"])
+    documents.write(base, root, TEMPLATE, exclude="DATE")
     lines = sorted(line for path in Path(root).rglob("*.json") for line in path.read_text().splitlines())
     assert lines == ['{"a":1,"b":"x"}', '{"a":2}', '{"a":3,"b":"z"}']
 

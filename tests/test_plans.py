@@ -104,7 +104,7 @@ def test_checked_read_casts_in_one_pass(spark, tmp_path, capfd):
     assert "ReadSchema: struct<total_amount:string>" in narrow
 
 
-@pytest.mark.parametrize("name", ["csv_quarantine", "enrich_trips", "table_partial_reload", "job_process"])
+@pytest.mark.parametrize("name", ["csv_quarantine", "enrich", "table_partial_reload", "job_process"])
 def test_no_python_on_any_path(spark, name, capfd):
     text = plan(entry_points.queries()[name](spark, SF_DIR), capfd)
     assert not re.search(r"Python|Pandas|ArrowEval|Cartesian|NestedLoop", text)

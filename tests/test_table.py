@@ -91,6 +91,25 @@ def test_settings_come_back_after_a_failure(spark):
         spark.conf.unset(MODE)
 
 
+def test_task_size_is_the_callers_if_there_is_one(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        with held_settings(spark):
+            assert spark.conf.get(key) == "256m"
+            with held_settings(spark):
+                assert spark.conf.get(key) == "256m"
+            assert spark.conf.get(key) == "256m"
+        assert spark.conf.get(key, None) is None
+        spark.conf.set(key, "1m")
+        with held_settings(spark):
+            assert spark.conf.get(key) == "1m"
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def test_overlapping_writes_keep_the_mode_until_the_last_is_done(spark):
     spark.conf.set(MODE, "STATIC")
     inside, leave = threading.Event(), threading.Event()
@@ -185,7 +204,7 @@ def test_partition_column_is_required(spark, base, table_name):
 
 
 def test_other_partitioning_is_refused(spark, base, table_name):
-    table.write(base, table_name, partition_by=["b"])
+    table.write(base, table_name, partition_by="b")
     with pytest.raises(ValueError, match="partitioned by"):
         table.write(base, table_name)
     assert content(spark, table_name) == sorted([(a, d, b) for a, b, d in BASE], key=repr)

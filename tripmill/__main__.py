@@ -11,10 +11,6 @@ from tripmill.schema import INDEX_EXCLUDES, INDEX_TEMPLATE, TRIP_TABLE
 from tripmill.session import use_zone
 
 
-# How much a write task takes, and so the size of a file; large files still fit a task's memory.
-TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-
-
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tripmill", description="Batch jobs over trip records.")
     parser.add_argument("--hive", action="store_true", help="use the Hive catalog the cluster configures")
@@ -48,8 +44,6 @@ def main(arguments: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     builder = SparkSession.builder.appName(f"tripmill {args.command}")
     spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
-    if spark.conf.get(TASK_SIZE, None) is None:
-        spark.conf.set(TASK_SIZE, "256m")
     if args.command == "sql":
         use_zone(spark, args.zone)
         if args.location is not None:

@@ -51,9 +51,9 @@ def route(df: DataFrame, template: str, null_index: str | None = None) -> Column
     return F.coalesce(F.concat(*parts), otherwise)
 
 
-def document_schema(schema: StructType, exclude: Sequence[str] = ()) -> StructType:
+def document_schema(schema: StructType, exclude: Sequence[str] | str = ()) -> StructType:
     """The schema of the documents made from rows of ``schema``, with the index they are in."""
-    dropped = {name.lower() for name in exclude}
+    dropped = {name.lower() for name in ([exclude] if isinstance(exclude, str) else exclude)}
     kept = [f for f in schema if f.name.lower() not in dropped]
     return StructType([*kept, StructField(INDEX, StringType())])
 
@@ -63,7 +63,7 @@ def write(
     root: str,
     template: str,
     *,
-    exclude: Sequence[str] = (),
+    exclude: Sequence[str] | str = (),
     mode: Literal["append", "replace"] = "append",
     null_index: str | None = None,
     cluster: bool = True,

@@ -75,7 +75,7 @@ def attach(
 def write(
     df: DataFrame,
     name: str,
-    partition_by: Sequence[str] = PARTITION_BY,
+    partition_by: Sequence[str] | str = PARTITION_BY,
     *,
     location: str | None = None,
     cluster: bool = True,
@@ -89,10 +89,12 @@ def write(
 
     ``cluster=False`` skips the shuffle that brings equal partition values together. Use it when the
     input is already in that order; otherwise each task writes a file for every value it meets.
-    ``preview`` shows that many rows first, which costs a job of its own.
+    ``location`` is where a new table's files go, if not into the warehouse; one that is known stays
+    where it is. ``preview`` shows that many rows first, which costs a job of its own.
     """
     spark = df.sparkSession
     table = quote_table(name)
+    partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     log.info("processing table %s", name)
     _check_keys(df, partition_by)
 

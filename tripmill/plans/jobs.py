@@ -65,7 +65,7 @@ def process(
     table_name: str = TRIP_TABLE,
     *,
     template: str = INDEX_TEMPLATE,
-    exclude: Sequence[str] = INDEX_EXCLUDES,
+    exclude: Sequence[str] | str = INDEX_EXCLUDES,
     location: str | None = None,
     mode: Literal["append", "replace"] = "append",
     null_index: str | None = None,

@@ -59,9 +59,9 @@ _STORED = _TRIPS + "select trip_id, vendor_id, total_amount, date from t"
 _TRIP_WITH_ID = StructType([StructField("trip_id", LongType()), *TRIP])
 
 
-def register(sql: str) -> Callable[[Run], Run]:
+def register(sql: str, name: str | None = None) -> Callable[[Run], Run]:
     def keep(run: Run) -> Run:
-        QUERIES[run.__name__] = Query(run, sql)
+        QUERIES[name or run.__name__] = Query(run, sql)
         return run
 
     return keep
@@ -183,7 +183,8 @@ def derive_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     _TRIPS + """select trip_id, strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.%g+0000') as "timestamp",
     dayname(pickup_datetime) as pickup_week_day, cast(hour(pickup_datetime) as integer) as pickup_hour, """
-    f"{_DURATION} as duration from t"
+    f"{_DURATION} as duration from t",
+    name="enrich",
 )
 def enrich_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = derive_trips(spark, sf_dir).transform(enrich)

@@ -18,8 +18,14 @@ WRITE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Asked for only where the table is one that Hive made.
+    "hive.exec.dynamic.partition.mode": "nonstrict",
 }
 
+# Used where the session says nothing: how much a write task takes, and so the size of a file. Spark's
+# own 64 MB would make over a million files of 100 TB.
+WRITE_DEFAULTS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
+
 _lock = threading.Lock()
 _held: dict[tuple[int, str], list] = {}
 
@@ -32,16 +38,25 @@ def use_zone(spark: SparkSession, zone: str | None = None) -> str:
 
 
 @contextmanager
-def held_settings(spark: SparkSession, settings: Mapping[str, str] = WRITE_SETTINGS) -> Iterator[None]:
+def held_settings(
+    spark: SparkSession,
+    settings: Mapping[str, str] = WRITE_SETTINGS,
+    defaults: Mapping[str, str] = WRITE_DEFAULTS,
+) -> Iterator[None]:
     """Hold settings while a write runs, then give the caller's values back.
 
-    Writes of one session may overlap in threads. The first one in remembers the caller's value and
+    The defaults are held only where the caller has no value. Writes of one session may overlap in threads. The first one in remembers the caller's value and
     the last one out restores it, so no write sees dynamic overwrite switched off while it runs.
     """
     entered = []
     try:
         with _lock:
-            for key, value in settings.items():
+            unset = {
+                key: value
+                for key, value in defaults.items()
+                if key not in settings and ((id(spark), key) in _held or spark.conf.get(key, None) is None)
+            }
+            for key, value in {**settings, **unset}.items():
                 before = spark.conf.get(key, None)
                 spark.conf.set(key, value)
                 _held.setdefault((id(spark), key), [0, before])[0] += 1
