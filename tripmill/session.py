@@ -45,18 +45,14 @@ def held_settings(
 ) -> Iterator[None]:
     """Hold settings while a write runs, then give the caller's values back.
 
-    The defaults are held only where the caller has no value. Writes of one session may overlap in threads. The first one in remembers the caller's value and
-    the last one out restores it, so no write sees dynamic overwrite switched off while it runs.
+    The defaults are held only where the caller has no value. Writes of one session may overlap in
+    threads: the first one in remembers the caller's value and the last one out restores it, so no
+    write sees dynamic overwrite switched off while it runs.
     """
     entered = []
     try:
         with _lock:
-            unset = {
-                key: value
-                for key, value in defaults.items()
-                if key not in settings and ((id(spark), key) in _held or spark.conf.get(key, None) is None)
-            }
-            for key, value in {**settings, **unset}.items():
+            for key, value in _with_defaults(spark, settings, defaults).items():
                 before = spark.conf.get(key, None)
                 spark.conf.set(key, value)
                 _held.setdefault((id(spark), key), [0, before])[0] += 1
@@ -75,6 +71,17 @@ def held_settings(
                         spark.conf.set(key, entry[1])
 
 
+def _with_defaults(
+    spark: SparkSession, settings: Mapping[str, str], defaults: Mapping[str, str]
+) -> dict[str, str]:
+    chosen = dict(settings)
+    for key, value in defaults.items():
+        now = spark.conf.get(key, None)
+        if now is None or (now == value and (id(spark), key) in _held):
+            chosen.setdefault(key, value)
+    return chosen
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder the cluster names; a local folder only where none is named."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
