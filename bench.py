@@ -107,7 +107,7 @@ def main() -> None:
                 "value": round(sum(queries.values()), 3),
                 "unit": "sec",
                 "queries": queries,
-                "sf": Path(SF_DIR).name.removeprefix("sf"),
+                "sf": float(Path(SF_DIR).name.removeprefix("sf")),
                 "cpus": int(CPUS),
                 "rows_per_second_count_15m": round(TRIPS / queries["count_15m"]) if TRIPS else None,
             }

@@ -322,6 +322,16 @@ def test_location_outlives_the_catalog(spark, base, table_name, tmp_path):
     ]
 
 
+def test_location_without_data(spark, base, table_name, tmp_path):
+    location = str(tmp_path / "t")
+    table.write(base.where("a > 9"), table_name, location=location)
+    Path(location).mkdir(exist_ok=True)
+    spark.sql(f"drop table {table_name}")
+    assert not table.attach(spark, table_name, location)
+    assert table.write(base, table_name, location=location).created
+    assert content(spark, table_name) == BASE
+
+
 def test_attach_with_a_given_schema(spark, base, table_name, tmp_path):
     table.write(base, table_name, location=str(tmp_path / "t"))
     spark.sql(f"drop table {table_name}")

@@ -4,6 +4,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -58,15 +59,20 @@ def attach(
 ) -> bool:
     """Enter the table an earlier session wrote at ``location`` into this session's catalog.
 
-    Needed only where the catalog does not outlive a session. False if the location does not
-    exist. Without ``schema`` the columns are merged from the file footers, a Spark job over all
-    files; pass it where there are many.
+    Needed only where the catalog does not outlive a session. False if there is no data. Without
+    ``schema`` the columns are merged from the file footers, a Spark job over all files; pass it
+    where there are many.
     """
     if not _exists(spark, location):
         return False
     if schema is None:
-        with held_settings(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
-            schema = spark.read.option("mergeSchema", True).parquet(location).schema
+        try:
+            with held_settings(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+                schema = spark.read.option("mergeSchema", True).parquet(location).schema
+        except AnalysisException as problem:
+            if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                return False
+            raise
     _run(spark, create_ddl(name, schema, partition_by, location))
     _run(spark, f"MSCK REPAIR TABLE {quote_table(name)}")
     return True
@@ -83,9 +89,10 @@ def write(
 ) -> WriteResult:
     """Write ``df`` to the table, replacing exactly the partitions that receive rows.
 
-    A missing table is created, or attached if an earlier session left it at ``location``; columns the table lacks are added; columns the frame lacks are null.
-    Rows with a null partition value are kept, in the null partition. An empty frame still creates or
-    widens the table, and changes no data. The rows are counted by the pass that writes them.
+    A missing table is created, or attached if an earlier session left it at ``location``. Columns the
+    table lacks are added; columns the frame lacks are null. Rows with a null partition value are
+    kept, in the null partition. An empty frame still creates or widens the table, and changes no
+    data. The rows are counted by the pass that writes them.
 
     ``cluster=False`` skips the shuffle that brings equal partition values together. Use it when the
     input is already in that order; otherwise each task writes a file for every value it meets.

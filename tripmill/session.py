@@ -22,9 +22,13 @@ WRITE_SETTINGS = {
     "hive.exec.dynamic.partition.mode": "nonstrict",
 }
 
-# Used where the session says nothing: how much a write task takes, and so the size of a file. Spark's
-# own 64 MB would make over a million files of 100 TB.
-WRITE_DEFAULTS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
+# Used where the session says nothing. How much a write task takes, and so the size of a file: Spark's
+# own 64 MB would make over a million files of 100 TB. And how little it may take: with Spark's own 1 MB
+# a small load of many days would write all its files one after the other.
+WRITE_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+}
 
 _lock = threading.Lock()
 _held: dict[tuple[int, str], list] = {}
