@@ -62,6 +62,21 @@ def test_dump_again_replaces_only_the_days_it_holds(spark, csv, table_name):
     assert Counter(r.date for r in spark.table(table_name).collect()) == {"2014-01-31": 2, "2014-02-01": 1}
 
 
+def test_years_far_away_are_kept(spark, csv, table_name, tmp_path):
+    years = ["0001", "1582", "1899", "9999"]
+    lines = [GOOD[0].replace("2014-01-31 04", f"{year}-01-31 04") for year in years]
+    jobs.dump(spark, csv(*lines), table_name)
+    rows = spark.table(table_name).orderBy("date").selectExpr("date", "string(dropoff_datetime)").collect()
+    assert [tuple(r) for r in rows] == [(f"{y}-01-31", f"{y}-01-31 04:25:00") for y in years]
+    root = str(tmp_path / "documents")
+    jobs.process(spark, root, table_name)
+    back = documents_of(spark, table_name, root)
+    stamps = back.orderBy("index").selectExpr("index", "timestamp", "string(pickup_datetime)", "duration").collect()
+    assert [tuple(r) for r in stamps] == [
+        (f"taxi-{y}-01-31", f"{y}-01-31T04:09:00.000+0000", f"{y}-01-31 04:09:00", 16.0) for y in years
+    ]
+
+
 def test_rejects_report(spark, csv, table_name, tmp_path):
     path = str(tmp_path / "rejects")
     result = jobs.dump(spark, csv(*GOOD, BAD), table_name, rejects_path=path)

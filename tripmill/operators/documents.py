@@ -89,6 +89,7 @@ def write(
         (
             documents.write.mode("append" if mode == "append" else "overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("ignoreNullFields", True)
             .option("timestampFormat", TIMESTAMP_FORMAT)
             .option("timestampNTZFormat", LOCAL_TIMESTAMP_FORMAT)
             .partitionBy(INDEX)
