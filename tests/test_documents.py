@@ -157,9 +157,15 @@ def test_empty_input(spark, base, root):
     assert content(read(spark, base, root)) == DOCS
 
 
-def test_hot_index_is_split_and_whole(spark, root):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_index_is_split_and_whole(spark, root, adaptive):
     rows = spark.range(0, 100_000, 1, 32).selectExpr("id as a", "if(id % 3 = 0, 'hot', cast(id % 10 as string)) as k")
-    with held_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB"}):
+    callers = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+    }
+    with held_settings(spark, callers):
         assert documents.write(rows, root, "i-{k}").rows == 100_000
-    assert len(list(Path(root).glob("index=i-hot/*.json"))) >= 4
+    assert 4 <= len(list(Path(root).glob("index=i-hot/*.json"))) < 32
+    assert {len(list(p.glob("*.json"))) for p in Path(root).glob("index=i-[0-9]")} == {1}
     assert read(spark, rows, root, exclude=()).drop("index").exceptAll(rows).isEmpty()

@@ -369,12 +369,17 @@ def test_one_file_per_small_day(spark, table_name):
     assert spark.table(table_name).count() == 20_000
 
 
-def test_hot_day_is_split_and_whole(spark, table_name):
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_day_is_split_and_whole(spark, table_name, adaptive):
     rows = spark.range(0, 200_000, 1, 32).selectExpr(
         "id as a",
         "if(id % 2 = 0, '2024-01-15', date_format(date_add(date'2024-01-01', cast(id % 14 as int)), 'yyyy-MM-dd')) as date",
     )
-    with held_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB"}):
+    callers = {
+        "spark.sql.adaptive.enabled": adaptive,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
+    }
+    with held_settings(spark, callers):
         assert table.write(rows, table_name).rows == 200_000
     per_day = {day: len(names) for day, names in files(spark, table_name).items()}
     assert per_day.pop("date=2024-01-15") >= 4

@@ -81,13 +81,13 @@ def write(
     target = route(df, template, null_index)
     documents = df.select(*[column(c) for c in document_schema(df.schema, exclude).names[:-1]], target.alias(INDEX))
     by_lower_name(documents.columns)
-    if cluster:
-        documents = cluster_by(documents, INDEX)
     written = Observation()
-    documents = documents.observe(written, F.count(F.lit(1)).alias("rows"))
     with held_settings(spark):
+        if cluster:
+            documents = cluster_by(documents, INDEX)
         (
-            documents.write.mode("append" if mode == "append" else "overwrite")
+            documents.observe(written, F.count(F.lit(1)).alias("rows"))
+            .write.mode("append" if mode == "append" else "overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("ignoreNullFields", True)
             .option("timestampFormat", TIMESTAMP_FORMAT)

@@ -19,5 +19,6 @@ def cluster(df: DataFrame, *columns: str) -> DataFrame:
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is cut by adaptive execution into as many
     tasks and files as it needs, so one hot day never ends in one task. The hash is on the key
     columns alone, thus a task that is run again after an executor is lost gives the same rows.
+    Spark drops the hint where adaptive execution is off at the time of this call.
     """
     return df.hint("rebalance", PARTITIONS, *[quote(name) for name in columns])

@@ -120,12 +120,13 @@ def write(
     rows = align(df, spark.table(table).schema)
     if preview:
         rows.show(preview)
-    if cluster:
-        rows = cluster_by(rows, *partition_by)
     written = Observation()
-    # Observed above the shuffle, in the stage that writes: counted once, also when map tasks run again.
-    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     with held_settings(spark):
+        if cluster:
+            # Under the settings as well: without adaptive execution Spark drops the hint when it is given.
+            rows = cluster_by(rows, *partition_by)
+        # Observed above the shuffle, in the stage that writes: counted once, also when map tasks run again.
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         rows.write.mode("overwrite").insertInto(table)
 
     result = WriteResult(name, written.get["rows"], not known, added)
