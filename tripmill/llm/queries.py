@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import chat
 from tripmill.llm.exact_dedup import exact_dedup
+from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.sharding import shard_documents
 
 
@@ -101,3 +102,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
+
+
+@_query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
