@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import chat
+from tripmill.llm.decontaminate import contamination
 from tripmill.llm.exact_dedup import exact_dedup
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.sharding import shard_documents
@@ -104,6 +105,48 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+@_query(
+    "op9_benchmark_decontamination",
+    r"""
+    with d as (
+        select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents
+    ), b as (
+        select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+    ), windows as (
+        select distinct item_id, least(10, len(w)) as n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') as t
+        from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k from b where len(w) > 0)
+    ), places as (
+        select doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') as t
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k
+              from d, (select distinct n from windows) where len(w) >= n)
+    ), hits as (
+        select doc_id, k, windows.n, item_id from places join windows on places.t = windows.t and places.n = windows.n
+    ), covered as (
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(k, k + n)) as p from hits) group by doc_id
+    ), named as (
+        select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+        from (select distinct doc_id, cast(item_id as varchar) as i from hits) group by doc_id
+    )
+    select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join covered on covered.doc_id = d.doc_id left join named on named.doc_id = d.doc_id
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @_query("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
