@@ -56,6 +56,7 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("survives", survives)
         .select(
             "id",
+            "bit",
             "survives",
             (F.sha2("t", 256) if digest_all else F.when(F.col("survives"), F.sha2("t", 256))).alias("sha"),
         )
@@ -65,7 +66,9 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     )
     groups = groups.where("group_size > 1").withColumnRenamed("sha", "group_sha")
     # A group of a third of all rows makes one large partition of narrow rows, which adaptive execution splits.
-    joined = hashed.join(groups, F.when(F.col("survives"), F.col("sha")) == F.col("group_sha"), "left")
+    # Rows without a hash get keys of their own, or all of them would meet at the null key.
+    own = F.coalesce("sha", F.col("bit").cast("string"))
+    joined = hashed.join(groups, own == F.col("group_sha"), "left")
     alone = F.col("group_sha").isNull()
     return joined.select(
         F.col("id").alias(id_col),
