@@ -13,6 +13,7 @@ from tripmill.llm import chat
 from tripmill.llm.decontaminate import contamination
 from tripmill.llm.exact_dedup import exact_dedup
 from tripmill.llm.near_dedup import near_duplicates
+from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
 
 
@@ -92,6 +93,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 @_query(
     "op6_exact_dedup",
     r"""
