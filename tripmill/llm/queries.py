@@ -15,6 +15,7 @@ from tripmill.llm.exact_dedup import exact_dedup
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
+from tripmill.llm.toxicity import fit_toxicity, held_out
 
 
 @dataclass(frozen=True)
@@ -93,6 +94,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(documents, _table(spark, sf_dir, "labels"), usable=~held_out())
+    return model.score(documents).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @_query("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents")).select(
