@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import chat
+from tripmill.llm._common import crc_bucket
 from tripmill.llm.decontaminate import contamination
 from tripmill.llm.exact_dedup import exact_dedup
+from tripmill.llm.lm_scoring import lm_scores
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
@@ -127,6 +129,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+@_query("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (crc_bucket("doc_id", 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @_query(
     "op9_benchmark_decontamination",
     r"""
