@@ -24,11 +24,20 @@ def _only(docs: DataFrame, judged: DataFrame, stays) -> DataFrame:
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Each row as a whole beside its text: what judges rows one by one takes it along in place of an id, without a join."""
+    return docs.select(F.struct("*").alias("row"), "text")
+
+
+def _rows(judged: DataFrame, stays) -> DataFrame:
+    return judged.where(stays).select("row.*")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the model, learned from the labels of these documents, calls toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_toxicity(docs, labels, usable=~held_out())
-    return _only(docs, model.score(docs), F.col("predicted") == 0)
+    return _rows(model.score(_with_row(docs), id_col="row"), F.col("predicted") == 0)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents in which a window of a benchmark item occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _only(docs, contamination(docs, benchmark), F.col("n_hit") == 0)
+    return _rows(contamination(_with_row(docs), benchmark, id_col="row"), F.col("n_hit") == 0)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

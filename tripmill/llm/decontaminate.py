@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.llm._common import byte_class, lower_ascii, slices, span_hashes, text_bytes, text_of, words
 from tripmill.llm.fm_index import FMIndex
@@ -18,6 +19,8 @@ BLOCK_BYTES = 8 << 20
 _BETWEEN = "".join(map(chr, [*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 MEMBER = byte_class(besides=_BETWEEN)
 
+_RESULT = "n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+
 _built: dict[str, tuple] = {}
 
 
@@ -183,8 +186,7 @@ def contamination(
     are rows like any other, but with more than one block rows that share an id must be copies. Without items nothing is hit. Other columns are not looked at.
     """
     texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    kind = texts.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+    schema = StructType([texts.schema["id"], *StructType.fromDDL(_RESULT)])
     passes = [texts.mapInArrow(_finder(b, window), schema) for b in _blocks(benchmark, item_col, item_text_col)]
     if not passes:
         passes = [texts.mapInArrow(_finder([], window), schema)]
