@@ -17,6 +17,7 @@ from tripmill.llm.lm_scoring import lm_scores
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
+from tripmill.llm.suffix_dedup import repeated_passages
 from tripmill.llm.toxicity import fit_toxicity, held_out
 
 
@@ -103,6 +104,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(documents).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@_query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeated_passages(_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_query("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents")).select(
