@@ -19,6 +19,7 @@ from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
 from tripmill.llm.suffix_dedup import repeated_passages
 from tripmill.llm.toxicity import fit_toxicity, held_out
+from tripmill.llm.url_filter import judge_urls, mine_rules
 
 
 @dataclass(frozen=True)
@@ -142,6 +143,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+#: The given rules of op7, fixed values.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@_query("op7_url_filters")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad)
+    return judge_urls(pages, mine_rules(pages, labels), URL_RULES)
+
+
 @_query("op8_lm_scoring")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents")).select(
