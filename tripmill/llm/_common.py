@@ -1,6 +1,6 @@
 """Helpers the operators share: texts, scratch tables, and bytes of Arrow columns as numpy arrays."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,39 @@ def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: A filter of keys has this many bitmaps of 32,768 bits, 4 KB each: 2 MB to broadcast, however many keys there are.
+BITMAPS = 512
+_BITS = 32768
+
+
+def _bit(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BITMAPS * _BITS))
+
+
+def key_bitmaps(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps with a bit set for each of the keys, of fixed size: ``bitmap, bits``."""
+    return (
+        df.select(_bit(keys).alias("bit"))
+        .select((F.col("bit") / _BITS).cast("int").alias("bitmap"), (F.col("bit") % _BITS).alias("at"))
+        .groupBy("bitmap")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
+    )
+
+
+def with_bit(df: DataFrame, bitmaps: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add whether the row's key has its bit set. True for all keys the bitmaps were made of, and, as they fill up, for others."""
+    # Position p is bit p % 8 of byte p / 8.
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.col("_bit") % _BITS / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = F.coalesce(F.getbit(byte.cast("int"), (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    return (
+        df.withColumn("_bit", _bit(keys))
+        .withColumn("bitmap", (F.col("_bit") / _BITS).cast("int"))
+        .join(F.broadcast(bitmaps), "bitmap", "left")
+        .withColumn(name, is_set)
+        .drop("bitmap", "bits", "_bit")
+    )
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, one after the other, and the offsets of its rows. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

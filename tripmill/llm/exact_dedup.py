@@ -3,15 +3,11 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm._common import text_of
+from tripmill.llm._common import key_bitmaps, text_of, with_bit
 
 #: Characters of the beginning that the second step hashes. What is equal is decided by the whole text.
 PREFIX_CHARS = 256
 
-#: The third step's filter has this many bitmaps of 32,768 bits, 4 KB each: 2 MB to broadcast at any size of input.
-BITMAPS = 512
-_BITS = 32768
-
 
 def normalised(text: Column) -> Column:
     """The text with each run of spaces, tabs and line ends as one space."""
@@ -38,28 +34,13 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         F.length("t").alias("length"),
         F.xxhash64(F.substring("t", 1, PREFIX_CHARS)).alias("prefix"),
     )
-    bit = F.pmod(F.xxhash64("length", "prefix"), F.lit(BITMAPS * _BITS)).alias("bit")
     several = key.groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    bitmaps = (
-        several.select(bit)
-        .select((F.col("bit") / _BITS).cast("int").alias("bitmap"), (F.col("bit") % _BITS).alias("at"))
-        .groupBy("bitmap")
-        .agg(F.bitmap_construct_agg("at").alias("bits"))
-    )
-    # Position p is bit p % 8 of byte p / 8.
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.col("bit") % _BITS / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    survives = F.coalesce(F.getbit(byte.cast("int"), (F.col("bit") % 8).cast("int")) == 1, F.lit(False))
-    hashed = (
-        key.withColumn("bit", bit)
-        .withColumn("bitmap", (F.col("bit") / _BITS).cast("int"))
-        .join(F.broadcast(bitmaps), "bitmap", "left")
-        .withColumn("survives", survives)
-        .select(
-            "id",
-            "bit",
-            "survives",
-            (F.sha2("t", 256) if digest_all else F.when(F.col("survives"), F.sha2("t", 256))).alias("sha"),
-        )
+    bitmaps = key_bitmaps(several, ["length", "prefix"])
+    hashed = with_bit(key, bitmaps, ["length", "prefix"], "survives").select(
+        "id",
+        "prefix",
+        "survives",
+        (F.sha2("t", 256) if digest_all else F.when(F.col("survives"), F.sha2("t", 256))).alias("sha"),
     )
     groups = (
         hashed.where("survives").groupBy("sha").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
@@ -67,7 +48,7 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     groups = groups.where("group_size > 1").withColumnRenamed("sha", "group_sha")
     # A group of a third of all rows makes one large partition of narrow rows, which adaptive execution splits.
     # Rows without a hash get keys of their own, or all of them would meet at the null key.
-    own = F.coalesce("sha", F.col("bit").cast("string"))
+    own = F.coalesce("sha", F.col("prefix").cast("string"))
     joined = hashed.join(groups, own == F.col("group_sha"), "left")
     alone = F.col("group_sha").isNull()
     return joined.select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tripmill.llm._common import (
     _MULTIPLIER,
     gram_hashes,
+    key_bitmaps,
     lower_ascii,
     materialised,
     mixed,
@@ -19,6 +20,7 @@ from tripmill.llm._common import (
     span_hashes,
     text_bytes,
     text_of,
+    with_bit,
     words,
 )
 from tripmill.llm.components import components
@@ -201,10 +203,13 @@ def near_duplicates(
     buckets = (
         banded.groupBy("band").agg(F.min("node").alias("peer"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    ties = banded.join(buckets, "band").where("node <> peer").select(F.col("node").alias("a"), F.col("peer").alias("b"))
+    # Bitmaps of fixed size keep most rows that meet nothing out of the second shuffle on bands, and out of that of texts.
+    shared = with_bit(banded, key_bitmaps(buckets, ["band"]), ["band"], "shared").where("shared").drop("shared")
+    ties = shared.join(buckets, "band").where("node <> peer").select(F.col("node").alias("a"), F.col("peer").alias("b"))
     tied = components(ties).join(classes.drop("bands"), "node")
     tied = materialised(tied, "tied")
-    found = texts.join(tied, F.col("id").eqNullSafe(F.col("rep"))).withColumn("bytes", F.octet_length("text"))
+    wanted = with_bit(texts, key_bitmaps(tied, ["rep"]), ["id"], "wanted").where("wanted").drop("wanted")
+    found = wanted.join(tied, F.col("id").eqNullSafe(F.col("rep"))).withColumn("bytes", F.octet_length("text"))
     group = tied.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     # Bytes are at most those of the longest text times the members: blocks are made small enough for both.
     found = materialised(found.drop("id"), "candidates")
