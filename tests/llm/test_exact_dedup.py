@@ -1,0 +1,45 @@
+import hashlib
+import re
+from collections import defaultdict
+
+from tests.llm.helpers import ODD, SCHEMA, empty, odd, prose
+from tripmill.llm.exact_dedup import exact_dedup
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", text or "")].append(i)
+    out = []
+    for text, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, keep, len(ids), i == keep, sha) for i in ids]
+    return sorted(out, key=str)
+
+
+def test_awkward_rows(spark):
+    got = [tuple(r) for r in exact_dedup(odd(spark), digest_all=True).collect()]
+    assert sorted(got, key=str) == expected(ODD)
+
+
+def test_a_whole_hash_only_where_needed(spark):
+    rows = [(i, prose(i, 30)) for i in range(50)] + [(100, prose(7, 30))]
+    got = {r.doc_id: r for r in exact_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i for i, r in got.items() if r.text_sha256} == {7, 100}
+    assert got[100].keep_id == 7 and not got[100].kept
+
+
+def test_beginnings_and_lengths_alike_are_not_copies(spark):
+    rows = [(1, "x" * 400 + "a"), (2, "x" * 400 + "b"), (3, "x" * 400 + "a")]
+    got = {r.doc_id: r.keep_id for r in exact_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_empty_table(spark):
+    assert exact_dedup(empty(spark)).collect() == []
+
+
+def test_no_python(spark, capfd):
+    exact_dedup(odd(spark).drop("id")).explain()
+    assert "Python" not in capfd.readouterr().out

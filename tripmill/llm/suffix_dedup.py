@@ -35,9 +35,6 @@ HOT_CONTEXTS = 20_000
 _PIECE = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
-_LAST_ID = (1 << 63) - 1
-
-
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbouring keys."""
     n = len(keys)
@@ -303,6 +300,26 @@ def _windows_one_by_one(contexts: DataFrame, length: int) -> DataFrame:
     return again.select("id", "start", (F.col("start") + length).alias("end"))
 
 
+def _placed(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows ``id, text, place`` with a whole number for their order, and the bytes of all texts.
+
+    The id is the place, unless ids are null or different texts share one. Then pairs of id and hash are sorted, and numbered as Spark
+    numbers the rows of sorted partitions.
+    """
+    hashed = rows.withColumn("_hash", F.xxhash64("text"))
+    per_id = hashed.groupBy("id").agg(
+        F.sum(F.octet_length("text").cast("long")).alias("bytes"),
+        (F.min("_hash") != F.max("_hash")).alias("differ"),
+    )
+    total, unclear = per_id.agg(F.sum("bytes"), F.count_if(F.col("differ") | F.col("id").isNull())).head()
+    if not unclear:
+        return rows.withColumn("place", F.col("id").cast("long")), total or 0
+    keys = hashed.select("id", "_hash").distinct().orderBy(F.asc_nulls_last("id"), "_hash")
+    places = materialised(keys.withColumn("place", F.monotonically_increasing_id()), "places").toDF("_i", "_h", "place")
+    same = F.col("id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h"))
+    return hashed.join(places, same).select("id", "text", "place"), total or 0
+
+
 def repeated_passages(
     df: DataFrame, *, length: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -319,14 +336,13 @@ def repeated_passages(
        extension gives common prefixes by increasing value and stops at ``length``; suffixes that are not parted by then
        share a window. An anchor of over ``HOT_CONTEXTS`` kinds is settled window by window in place of one transform.
 
-    Ids are whole numbers. A null id is larger than all others; rows that share an id stand at the same place, so neither repeats the other, and what is
-    removed from one is removed from all. A null text is empty. Texts shorter than ``length`` stay whole. Other columns are not looked at.
+    Ids are whole numbers. A null id is larger than all others. Rows that share an id and a text are one document: neither repeats the other. If they share
+    an id but not the text, they are documents in the order of their texts' hashes. A null text is empty. Texts shorter than ``length`` stay whole. Other columns are not looked at.
     """
     if length <= GRAM or length - GRAM > 200:
         raise ValueError(f"length must be over {GRAM} and at most {GRAM + 200}")
-    place = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID))
-    texts = df.select(place.alias("id"), text_of(text_col).alias("text"))
-    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
+    rows, total = _placed(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")))
+    texts = rows.select(F.col("place").alias("id"), "text")
     parts = max(1, -(-total // PART_BYTES))
     sent = ", ".join(f"{c} binary" for c in "anchor context doc start count later_doc later_start later_count".split())
     judged = materialised(
@@ -356,7 +372,6 @@ def repeated_passages(
         one_by_one = _windows_one_by_one(contexts.join(hot, "anchor", "left_semi"), length)
         spans = spans.union(transformed).union(one_by_one.select("id", "start", "end"))
     per_text = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    rows = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"), place.alias("_place"))
-    joined = rows.join(per_text.withColumnRenamed("id", "_id"), F.col("_place") == F.col("_id"), "left")
+    joined = rows.join(per_text.withColumnRenamed("id", "_id"), F.col("place") == F.col("_id"), "left")
     schema = StructType([rows.schema["id"], *StructType.fromDDL("n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary")])
     return joined.select("id", "text", "found").mapInArrow(_remover, schema).withColumnRenamed("id", id_col)
