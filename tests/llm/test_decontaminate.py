@@ -1,0 +1,102 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import ODD, SCHEMA, empty, odd, prose
+from tripmill.llm import decontaminate
+from tripmill.llm.decontaminate import contamination
+from tripmill.llm.fm_index import FMIndex, suffix_array
+
+ITEMS = "item_id bigint, text string"
+
+
+def words(text):
+    data = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode()
+    return [(m.group(), m.start(), m.end()) for m in re.finditer(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", data)]
+
+
+def brute(rows, items, window=10):
+    out = []
+    for i, text in rows:
+        own = words(text)
+        hit, found = set(), set()
+        for item, item_text in items:
+            phrase = [w for w, _, _ in words(item_text)]
+            n = min(window, len(phrase))
+            if item is None or not n:
+                continue
+            windows = {tuple(phrase[k : k + n]) for k in range(len(phrase) - n + 1)}
+            for k in range(len(own) - n + 1):
+                if tuple(w for w, _, _ in own[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    found.add(str(item))
+        spans = []
+        for k in sorted(hit):
+            if k - 1 in hit:
+                spans[-1] = (spans[-1][0], own[k][2])
+            else:
+                spans.append((own[k][1], own[k][2]))
+        out.append((i, len(own), len(hit), sorted(found), spans))
+    return sorted(out, key=str)
+
+
+def result(df):
+    rows = [(r.doc_id, r.n_words, r.n_hit, list(r["items"]), [tuple(s) for s in r.spans]) for r in df.collect()]
+    return sorted(rows, key=str)
+
+
+def planted(seed):
+    random.seed(seed)
+    items = [(k, prose(200 + k, random.choice([3, 9, 10, 11, 25, 40]))) for k in range(12)]
+    items += [(50, "A, b! C"), (51, None), (52, "..."), (None, prose(1, 20)), (53, items[3][1]), (54, "a b c d " * 8)]
+    rows = list(ODD)
+    for i in range(100, 130):
+        parts = [prose(i, random.randint(0, 30))]
+        for _ in range(random.randint(0, 3)):
+            w = (random.choice(items)[1] or "x").split()
+            a = random.randint(0, max(0, len(w) - 10))
+            parts += [random.choice([" ", "-", ". "]).join(w[a : a + random.randint(1, 30)]).upper(), prose(i, 3)]
+        rows.append((i, " ".join(parts)))
+    rows.append((140, "a b c d " * 30))
+    rows.append((141, "x a-B. c y"))
+    return rows, items
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_brute_force(spark, seed):
+    rows, items = planted(seed)
+    got = contamination(spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame(items, ITEMS))
+    assert result(got) == brute(rows, items)
+
+
+def test_in_blocks(spark, monkeypatch):
+    rows, items = planted(9)
+    # Rows that share an id must be copies where there are several blocks.
+    rows = [r for r in rows if r[0] is not None and r[0] != 3]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    got = contamination(spark.createDataFrame(rows, SCHEMA).repartition(3), spark.createDataFrame(items, ITEMS))
+    assert result(got) == brute(rows, items)
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    items = [(1, prose(1, 20)), (2, "one")]
+    benchmark = spark.createDataFrame(items, ITEMS)
+    assert result(contamination(odd(spark), benchmark)) == brute(ODD, items)
+    assert result(contamination(odd(spark), benchmark.limit(0))) == brute(ODD, [])
+    assert contamination(empty(spark), benchmark).collect() == []
+
+
+def test_suffixes_and_searches():
+    random.seed(2)
+    for _ in range(20):
+        s = [random.randint(0, 3) for _ in range(random.randint(1, 60))] + [0]
+        index = FMIndex(np.array(s), 3)
+        phrases = [[random.randint(1, 3) for _ in range(random.randint(1, 4))] for _ in range(12)]
+        lengths = np.array([len(p) for p in phrases])
+        low, high = index.search(np.array([p + [0] * (4 - len(p)) for p in phrases]), lengths)
+        for p, a, b in zip(phrases, low, high, strict=True):
+            want = [k for k in range(len(s)) if s[k : k + len(p)] == p]
+            assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+    assert suffix_array(np.array([2, 1, 2, 1, 0])).tolist() == [4, 3, 1, 2, 0]

@@ -1,0 +1,101 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm.helpers import ODD, empty, odd, prose
+from tripmill.llm.packing import differenced, pack, windows
+from tripmill.llm.tokens import Encoder
+
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+TEXTS = [
+    "",
+    None,
+    " ",
+    " a",
+    "a ",
+    "a  b",
+    "a\n b \n",
+    "it's we'll I'D don't",
+    "x <|endoftext|> y",
+    "<|endoftext|>",
+    "漢字 ² ½ x é Ÿ ǅ ʰ ɐ 😀 a",
+    "a\u00a0b \u00a0c",
+    "\x1c a\x1f b",
+    "123 4,5 6",
+    "ab" * 3000,
+    prose(3, 200),
+    prose(3, 100) + "\n\n" + prose(4, 100),
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(JSON)
+
+
+@pytest.mark.parametrize("ranks", [RANKS, None])
+def test_ids_are_the_tokenizers(tokenizer, ranks):
+    encoder = Encoder(JSON, ranks, public_tokenizers.PATTERN)
+    for _ in range(2):
+        ids, at = encoder.encode(pa.array(TEXTS, pa.string()))
+        for k, text in enumerate(TEXTS):
+            assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert encoder.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_random_texts(tokenizer):
+    random.seed(8)
+    encoder = Encoder(JSON, RANKS, public_tokenizers.PATTERN)
+    signs = list("ab Z09'.,é \n\t-ñ") + [" ", " ", "the", "'s", "\u2003", "\r\n"]
+    texts = ["".join(random.choice(signs) for _ in range(random.randint(0, 60))) for _ in range(800)]
+    ids, at = encoder.encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_differencing_keeps_members_and_sums():
+    random.seed(2)
+    for _ in range(30):
+        sizes = [random.randint(1, 256) for _ in range(random.randint(1, 80))]
+        ways = random.randint(1, 20)
+        sums, parts = differenced(sizes, ways)
+        assert sorted(k for p in parts for k in p) == list(range(len(sizes)))
+        assert [sum(sizes[k] for k in p) for p in parts] == sums.tolist() == sorted(sums.tolist())
+    assert differenced([8, 7, 6, 5, 4], 2)[0].tolist() == [14, 16]
+
+
+def test_no_window_over_capacity():
+    random.seed(3)
+    sizes = [random.randint(1, 256) for _ in range(400)]
+    found = windows(sizes, 1024)
+    assert max(sum(sizes[k] for k in p) for p in found) <= 1024
+    assert sum(sizes) / 1024 / len(found) > 0.95
+    assert windows([], 10) == []
+    assert sorted(windows([10, 10, 10], 10)) == [[0], [1], [2]]
+
+
+def test_awkward_rows(spark, tokenizer):
+    docs, seqs = {}, {}
+    for r in pack(odd(spark)).collect():
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        assert len(ids) == r["length"]
+        docs.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, ids))
+        seqs.setdefault(r.sequence_id, []).append((r.offset, r["length"]))
+    for s in seqs.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at
+            at += n
+        assert at <= 1024
+    for i, text in ODD:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        copies = sum(1 for j, t in ODD if j == i and t == text)
+        pieces = sorted(docs[i, len(ids)])
+        assert [x for _, p in pieces[::copies] for x in p] == ids
+    assert pack(empty(spark)).collect() == []

@@ -297,6 +297,8 @@ def weight_table(weights: dict[int, tuple[float, float, float]]) -> np.ndarray:
 
 def _scorer(weights: np.ndarray, tokens: int, types: int):
     p0 = 1.0 / (types + 1)
+    if not tokens:
+        weights = np.tile([0.0, 0.0, 1.0], (len(weights), 1))
     below = tokens + 0.1 * (types + 1)
 
     def scored(key, batch: pa.Table, answers: pa.Table) -> pa.Table:

@@ -58,7 +58,11 @@ def tokens_of(url: Column) -> Column:
         ("parameter", names),
         ("fragment", F.filter(F.array(F.regexp_extract(text, r"#(.*)$", 1)), lambda x: x != "")),
     ]
-    return F.array_distinct(F.concat(*[F.transform(a, lambda x, k=k: F.concat(F.lit(f"{k}="), x)) for k, a in kinds]))
+    return F.array_distinct(F.concat(*[_prefixed(kind, values) for kind, values in kinds]))
+
+
+def _prefixed(kind: str, values: Column) -> Column:
+    return F.transform(values, lambda x: F.concat(F.lit(f"{kind}="), x))
 
 
 def mine_rules(
