@@ -27,8 +27,8 @@ from tripmill.llm._common import (
 )
 
 #: Bytes of text in a batch, and on average in what a part of the n-gram space is asked for.
-BATCH_BYTES = 16 << 20
-PART_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+PART_BYTES = 12 << 20
 
 #: Hashes of what is no word: the end of a text, which counts as a token, and what stands before its first word.
 _END = np.uint64(0x5DEECE66D1CE4E5B)
