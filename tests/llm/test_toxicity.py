@@ -93,4 +93,5 @@ def test_features():
     assert found["hits_near_second_person"] == 2 and found["second_person_density"] > 0
     assert found["capital_rate"] > 0 and found["exclamation_rate"] > 0
     assert len(features("", lexicon)) == len(FEATURES)
-    assert "idiot" in terms("i.d.i.o.t")[0] and "loser" in terms("l0ooser")[0]
+    assert "idiot" in terms("i.d.i.o.t") and "loser" in terms("loooser") and "stupid" in terms("($tupid)")
+    assert terms("") == set()

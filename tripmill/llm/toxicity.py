@@ -1,6 +1,8 @@
 """Toxicity: gradient-boosted trees over dense features of a text, calibrated by isotonic regression."""
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,10 +14,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm._common import crc_bucket, materialised, text_of
+from tripmill.llm._common import crc_bucket, key_bitmaps, materialised, text_of, with_bit
 
 #: Labelled rows the model is fitted on, at most. A larger set is sampled by the hash of its ids.
-FIT_ROWS = 200_000
+FIT_ROWS = 20_000
 
 #: Entries of the lexicon, at most: the most telling ones stay. A feature of the classifier, sent to all tasks: under 1 MB.
 LEXICON = 4_000
@@ -56,93 +58,143 @@ FEATURES = [
     "repeat_rate",
 ]
 
-_WORD = re.compile(r"[^\W_]+", re.UNICODE)
-_TOKEN = re.compile(r"\S+")
-_INSIDE = re.compile(r"\w[\d@$!|*.\-_]+\w")
-_REPEAT = re.compile(r"(\w)\1\1")
+_WORD = re.compile(r"[^\W_]+")
+#: Signs between letters of a token, or in front of its first one.
+_SIGNS = re.compile(r"(?<=[^\W\d_])[\d@$!|*.\-_]+(?=[^\W\d_])|(?<!\w)[\d@$!|]+(?=[^\W\d_])")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_BEFORE, _AFTER = re.compile(r"\S*\Z"), re.compile(r"\S*")
 _SQUEEZE = re.compile(r"(.)\1{2,}")
-_EDGES = re.compile(r"^\W+|\W+$")
+_EDGES = re.compile(r"^[^\w@$!|]+|\W+$")
 _NO_LETTER = re.compile(r"[\W_]+")
 
+#: Words whose weights a worker remembers. When full, it begins anew.
+_REMEMBERED = 300_000
 
-def terms(text: str) -> tuple[set[str], list[str], list[str]]:
-    """The text's lexicon terms, its words in lower case, and its tokens that disguise a word, undisguised."""
-    words = _WORD.findall(text.lower())
-    hidden = []
-    for token in _TOKEN.findall(text):
-        token = _EDGES.sub("", token)
-        if _INSIDE.search(token) or _REPEAT.search(token):
-            plain = _SQUEEZE.sub(r"\1", _NO_LETTER.sub("", token.lower().translate(DISGUISES)))
-            if plain and plain != token.lower():
-                hidden.append(plain)
-    different = set(words)
-    different.update(hidden)
-    found = set(different)
-    for n in STEMS:
-        found.update(w[:n] + "*" for w in different if len(w) > n)
-    return found, words, hidden
+#: What a character is: other, letter, capital, digit or blank. Those beyond the first plane count as other.
+_OTHER, _LETTER, _CAPITAL, _DIGIT, _BLANK = range(5)
+
+
+def _kinds_of_characters() -> np.ndarray:
+    kinds = np.zeros(1 << 16, np.uint8)
+    for code in range(1 << 16):
+        c = chr(code)
+        if c.isupper():
+            kinds[code] = _CAPITAL
+        elif c.isalpha():
+            kinds[code] = _LETTER
+        elif c.isdigit():
+            kinds[code] = _DIGIT
+        elif c.isspace():
+            kinds[code] = _BLANK
+    return kinds
+
+
+_KINDS = _kinds_of_characters()
+
+
+def _token_around(text: str, start: int, end: int) -> str:
+    """The token that holds the place, without signs at its edges; at most 60 characters to either side are looked at."""
+    low = max(0, start - 60)
+    head = _BEFORE.search(text[low:start]).group()
+    tail = _AFTER.match(text[end : end + 60]).group()
+    return _EDGES.sub("", head + text[start:end] + tail)
+
+
+def disguised(text: str, triples: bool = True) -> list[str]:
+    """Tokens with signs or digits among their letters, or a letter three times in a row, as plain words in lower case."""
+    places = [m.span() for m in _SIGNS.finditer(text)]
+    if triples:
+        places += [m.span() for m in _TRIPLE.finditer(text)]
+    found = []
+    for token in {_token_around(text, *place) for place in places}:
+        plain = _SQUEEZE.sub(r"\1", _NO_LETTER.sub("", token.lower().translate(DISGUISES)))
+        if plain and plain != token.lower():
+            found.append(plain)
+    return found
+
+
+def terms(text: str) -> set[str]:
+    """The text's lexicon terms: different words, undisguised ones among them, and beginnings of words, marked by a star."""
+    found = {*_WORD.findall(text.lower()), *disguised(text)}
+    return found | {w[:n] + "*" for w in found for n in STEMS if len(w) > n}
 
 
-@dataclass
 class Lexicon:
-    weights: dict[str, float]
+    """How sure words and beginnings of words are to be toxic."""
 
-    def word(self, word: str) -> float:
-        return self.weights.get(word, 0.0)
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        self._known: dict[str, tuple[float, float] | None] = {}
 
-    def stem(self, word: str) -> float:
-        return max((self.weights.get(word[:n] + "*", 0.0) for n in STEMS if len(word) > n), default=0.0)
+    def __getstate__(self):
+        return self.weights
+
+    def __setstate__(self, weights):
+        self.__init__(weights)
+
+    def weigh(self, word: str) -> tuple[float, float] | None:
+        """Of the word, and of the surest of its beginnings; None where neither is in the lexicon."""
+        try:
+            return self._known[word]
+        except KeyError:
+            get = self.weights.get
+            pair = get(word, 0.0), max(get(word[:n] + "*", 0.0) if len(word) > n else 0.0 for n in STEMS)
+            if len(self._known) >= _REMEMBERED:
+                self._known.clear()
+            self._known[word] = known = pair if any(pair) else None
+            return known
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of a whole text, in the order of ``FEATURES``."""
-    _, words, hidden = terms(text)
-    n = len(words) or 1
-    chars = len(text) or 1
-    cache: dict[str, tuple[float, float]] = {}
-
-    def weigh(word: str) -> tuple[float, float]:
-        if word not in cache:
-            cache[word] = (lexicon.word(word), lexicon.stem(word))
-        return cache[word]
-
-    hits, near, weight, stems, stem_weight, second, last = 0, 0, 0.0, 0, 0.0, 0, -100
-    for i, word in enumerate(words):
-        own, stem = weigh(word)
-        if word in SECOND_PERSON:
-            second += 1
-            last = i
-        if own:
-            hits += 1
-            weight = max(weight, own)
-        if stem:
-            stems += 1
-            stem_weight = max(stem_weight, stem)
-        if (own or stem) and i - last <= 5:
-            near += 1
-    disguised = sum(1 for word in hidden if any(weigh(word)))
-    letters = sum(map(str.isalpha, text))
-    capitals = sum(map(str.isupper, text))
-    digits = sum(map(str.isdigit, text))
-    blanks = sum(map(str.isspace, text))
+    words = _WORD.findall(text.lower())
+    counts = Counter(words)
+    n, chars = len(words) or 1, len(text) or 1
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    kind = _KINDS[np.where(code < 1 << 16, code, 0)]
+    other, letters, capitals, digits, _ = np.bincount(kind, minlength=5).tolist()
+    same = (code[2:] == code[1:-1]) & (code[1:-1] == code[:-2]) & ((kind[2:] == _LETTER) | (kind[2:] == _CAPITAL))
+    triples = int(same.sum())
+    upper = kind == _CAPITAL
+    shouted = upper[2:] & upper[1:-1] & upper[:-2]
+    shouted = int((shouted[1:] & ~shouted[:-1]).sum() + (len(shouted) > 0 and shouted[0]))
+    hidden = disguised(text, triples > 0)
+    hits, weight, stems, stem_weight, toxic = 0, 0.0, 0, 0.0, set()
+    weigh = lexicon.weigh
+    for word, count in counts.items():
+        pair = weigh(word)
+        if pair is not None:
+            toxic.add(word)
+            hits += count * (pair[0] > 0)
+            stems += count * (pair[1] > 0)
+            weight, stem_weight = max(weight, pair[0]), max(stem_weight, pair[1])
+    second = sum(counts[w] for w in SECOND_PERSON & counts.keys())
+    near = 0
+    if toxic and second:
+        last = -100
+        for i, word in enumerate(words):
+            if word in SECOND_PERSON:
+                last = i
+            if word in toxic and i - last <= 5:
+                near += 1
     return [
-        float(np.log1p(len(words))),
+        math.log1p(len(words)),
         float(hits),
         hits / n,
         weight,
         float(stems),
         stems / n,
         stem_weight,
-        float(disguised),
+        float(sum(1 for word in hidden if weigh(word))),
         second / n,
         float(near),
-        capitals / (letters or 1),
-        sum(1 for w in _WORD.findall(text) if len(w) > 2 and w.isupper()) / n,
+        capitals / ((letters + capitals) or 1),
+        shouted / n,
         text.count("!") / chars,
-        (chars - letters - digits - blanks) / chars,
+        other / chars,
         digits / chars,
         len(hidden) / n,
-        len(_REPEAT.findall(text)) / chars,
+        triples / chars,
     ]
 
 
@@ -155,7 +207,7 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
             clean: dict[str, int] = {}
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts = toxic if label else clean
-                for term in terms(text)[0]:
+                for term in terms(text):
                     counts[term] = counts.get(term, 0) + 1
             # A term that no toxic text of the batch has still counts as clean where another batch has it.
             keys = list(toxic.keys() | clean.keys())
@@ -258,6 +310,8 @@ def fit_toxicity(
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / total))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("id is not null and text is not null")
+    # A bitmap of fixed size keeps the texts that no label is wanted of out of the join's shuffle.
+    texts = with_bit(texts, key_bitmaps(known, ["id"]), ["id"], "wanted").where("wanted").drop("wanted")
     rows = materialised(known.join(texts, "id"), "labelled")
     back = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(4)) == 0
     sums = rows.agg(F.count(F.lit(1)), F.sum("label"), F.count_if(back), F.sum(F.when(back, F.col("label")))).head()
