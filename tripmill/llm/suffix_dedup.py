@@ -24,15 +24,18 @@ from tripmill.llm.burrows_wheeler import equal_prefix_classes
 GRAM = 32
 
 #: Bytes of text whose anchors are sorted together before anything is sent, and on average in a part of the anchor space.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 PART_BYTES = 16 << 20
 
 #: Bytes of contexts transformed together, and contexts of one anchor beyond which windows are compared one by one.
 SHARD_BYTES = 1 << 20
 HOT_CONTEXTS = 20_000
 
+#: Bytes whose hashes are in memory at a time, some hundred bytes for each.
+_SLICE_BYTES = 1 << 20
+
 #: A longer text is cut into pieces of so many window starts, which overlap by a window.
-_PIECE = 8 << 20
+_PIECE = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
 def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -140,7 +143,7 @@ def _finder(length: int, parts: int):
             data, offsets = text_bytes(batch.column(1))
             begin, end, row, base = _pieces(offsets, length)
             bounds = np.concatenate([[0], np.cumsum(end - begin)])
-            for lo, hi in slices(bounds):
+            for lo, hi in slices(bounds, _SLICE_BYTES):
                 part = np.concatenate([data[b:e] for b, e in zip(begin[lo:hi].tolist(), end[lo:hi].tolist(), strict=True)])
                 own, start, count, anchor, context = contexts_of(part, bounds[lo : hi + 1] - bounds[lo], length)
                 held.append([anchor, context, ids[row[lo:hi]][own], start + base[lo:hi][own], count])
