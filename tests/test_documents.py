@@ -59,6 +59,20 @@ def test_append_adds_again_and_replace_swaps_touched_indices(spark, base, root):
     assert content(read(spark, base, root)) == sorted([*DOCS[:2] * 2, DOCS[2]], key=repr)
 
 
+def test_an_empty_name_goes_where_nulls_go(spark, root):
+    rows = spark.sql("select 1 as a, '' as k union all select 2, 'x' union all select 3, null")
+    with pytest.raises(PySparkException, match="no value for a field of index template"):
+        documents.write(rows, root, "{k}")
+    documents.write(rows, root, "{k}", null_index="none")
+    found = read_documents(spark, root, document_schema(rows.schema))
+    assert {(r.a, r["index"]) for r in found.collect()} == {(1, "none"), (2, "x"), (3, "none")}
+
+
+def test_a_mistyped_field_to_hide_is_an_error(spark, base, root):
+    with pytest.raises(ValueError, match="secrt"):
+        documents.write(base, root, TEMPLATE, exclude=["date", "secrt"])
+
+
 def test_unknown_mode_is_refused(base, root):
     with pytest.raises(ValueError, match="mode"):
         documents.write(base, root, TEMPLATE, mode="overwrite")

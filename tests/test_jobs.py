@@ -6,22 +6,24 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
 
 from tripmill.functions.trips import enrich
 from tripmill.operators import documents
 from tripmill.operators.documents import document_schema
 from tripmill.plans import jobs
 from tripmill.schema import TABLE, TRIP
-from tripmill.session import held_settings, scratch_path
+from tripmill.session import held_settings, held_zone, scratch_path
 from tripmill.sources.documents import read_documents
 
 HEADER = ",".join(TRIP.names)
 GOOD = [
-    "VTS,2014-01-31 04:09:00,2014-01-31 04:25:00,1,5.19,-73.9,40.7,1,,-73.9,40.6,CSH,17.5,0.5,0.5,0.0,0.0,18.5",
-    "CMT,2014-02-01 23:56:12,2014-02-02 00:06:42,1,0.7,-73.9,40.7,1,N,-73.9,40.7,CRD,4.5,0.5,0.5,0.75,0.0,6.25",
+    "red,2021-03-04 12:30:00,2021-03-04 12:50:30,3,8.4,10.25,50.5,2,,10.5,50.75,card,21.0,1.0,0.25,2.0,0.0,24.25",
+    "blue,2021-03-05 23:50:10,2021-03-06 00:10:40,1,2.5,11.0,51.5,1,Y,11.25,51.0,cash,9.0,0.0,0.25,0.0,1.5,10.75",
 ]
-BAD = "VTS,yesterday,2014-01-31 04:35:00,two,1.13,-73.9,40.7,1,,-73.9,40.7,CRD,6.0,0.5,0.5,1.62,0.0,8.62"
+BAD = "red,yesterday,2021-03-04 13:00:00,two,3.5,10.0,50.0,1,,10.1,50.1,card,12.0,0.0,0.25,1.0,0.0,13.25"
 
 
 @pytest.fixture
@@ -43,10 +45,10 @@ def test_csv_to_documents(spark, csv, table_name, tmp_path):
     assert jobs.dump(spark, csv(*GOOD), table_name).written.rows == 2
     assert spark.table(table_name).schema == TABLE
     assert jobs.process(spark, root, table_name).rows == 2
-    rows = documents_of(spark, table_name, root, "taxi-2014-*").collect()
+    rows = documents_of(spark, table_name, root, "taxi-2021-*").collect()
     assert {(r["index"], r.pickup_week_day, r.pickup_hour, r.duration, r.timestamp) for r in rows} == {
-        ("taxi-2014-01-31", "Friday", 4, 16.0, "2014-01-31T04:09:00.000+0000"),
-        ("taxi-2014-02-01", "Saturday", 23, 10.5, "2014-02-01T23:56:12.000+0000"),
+        ("taxi-2021-03-04", "Thursday", 12, 20.5, "2021-03-04T12:30:00.000+0000"),
+        ("taxi-2021-03-05", "Friday", 23, 20.5, "2021-03-05T23:50:10.000+0000"),
     }
     stored = [json.loads(line) for p in Path(root).rglob("*.json") for line in p.read_text().splitlines()]
     assert all("date" not in d and "index" not in d for d in stored)
@@ -59,21 +61,21 @@ def test_csv_to_documents(spark, csv, table_name, tmp_path):
 def test_dump_again_replaces_only_the_days_it_holds(spark, csv, table_name):
     jobs.dump(spark, csv(*GOOD), table_name)
     jobs.dump(spark, csv(GOOD[0], GOOD[0]), table_name)
-    assert Counter(r.date for r in spark.table(table_name).collect()) == {"2014-01-31": 2, "2014-02-01": 1}
+    assert Counter(r.date for r in spark.table(table_name).collect()) == {"2021-03-04": 2, "2021-03-05": 1}
 
 
 def test_years_far_away_are_kept(spark, csv, table_name, tmp_path):
     years = ["0001", "1582", "1899", "9999"]
-    lines = [GOOD[0].replace("2014-01-31 04", f"{year}-01-31 04") for year in years]
+    lines = [GOOD[0].replace("2021-03-04 12", f"{year}-01-31 12") for year in years]
     jobs.dump(spark, csv(*lines), table_name)
     rows = spark.table(table_name).orderBy("date").selectExpr("date", "string(dropoff_datetime)").collect()
-    assert [tuple(r) for r in rows] == [(f"{y}-01-31", f"{y}-01-31 04:25:00") for y in years]
+    assert [tuple(r) for r in rows] == [(f"{y}-01-31", f"{y}-01-31 12:50:30") for y in years]
     root = str(tmp_path / "documents")
     jobs.process(spark, root, table_name)
     back = documents_of(spark, table_name, root)
     stamps = back.orderBy("index").selectExpr("index", "timestamp", "string(pickup_datetime)", "duration").collect()
     assert [tuple(r) for r in stamps] == [
-        (f"taxi-{y}-01-31", f"{y}-01-31T04:09:00.000+0000", f"{y}-01-31 04:09:00", 16.0) for y in years
+        (f"taxi-{y}-01-31", f"{y}-01-31T12:30:00.000+0000", f"{y}-01-31 12:30:00", 20.5) for y in years
     ]
 
 
@@ -85,7 +87,7 @@ def test_rejects_report(spark, csv, table_name, tmp_path):
     assert (reject["pickup_datetime"], reject["passenger_count"]) == ("yesterday", "two")
     assert reject["bad_cells"] == ["pickup_datetime", "passenger_count"]
     [kept] = spark.table(table_name).where("date is null").collect()
-    assert (kept.pickup_datetime, kept.passenger_count, kept.total_amount) == (None, None, 8.62)
+    assert (kept.pickup_datetime, kept.passenger_count, kept.total_amount) == (None, None, 13.25)
 
 
 @pytest.mark.parametrize("cluster", [True, False])
@@ -94,11 +96,65 @@ def test_no_rejects_no_report(spark, csv, table_name, tmp_path, lines, cluster):
     path = tmp_path / "rejects"
     result = jobs.dump(spark, csv(*lines), table_name, rejects_path=str(path), cluster=cluster)
     assert (result.written.rows, result.rejects) == (len(lines), 0)
-    assert not path.exists()
+    assert not [line for p in path.glob("*.json") for line in p.read_text().splitlines()]
+
+
+def test_a_report_is_never_that_of_an_earlier_load(spark, csv, table_name, tmp_path):
+    path = tmp_path / "rejects"
+    assert jobs.dump(spark, csv(*GOOD, BAD), table_name, rejects_path=str(path)).rejects == 1
+    assert list(path.glob("*.json"))
+    assert jobs.dump(spark, csv(*GOOD), table_name, rejects_path=str(path)).rejects == 0
+    assert not [line for p in path.glob("*.json") for line in p.read_text().splitlines()]
+
+
+def test_all_surplus_cells_are_in_the_report(spark, csv, table_name, tmp_path):
+    path = tmp_path / "rejects"
+    jobs.dump(spark, csv(GOOD[0] + ",a,b,,d,e"), table_name, rejects_path=str(path))
+    [reject] = [json.loads(line) for p in path.glob("*.json") for line in p.read_text().splitlines()]
+    assert reject["line"] == GOOD[0] + ",a,b,,d,e" and reject["bad_cells"] == ["line"]
+
+
+def test_process_takes_days(spark, csv, table_name, tmp_path):
+    jobs.dump(spark, csv(*GOOD, BAD), table_name)
+    root = str(tmp_path / "documents")
+    for days, rows in [({"dates": "2021-03-04"}, 1), ({"since": "2021-03-05"}, 1), ({"until": "2021-03-03"}, 0)]:
+        assert jobs.process(spark, root, table_name, mode="replace", **days).rows == rows
+    assert jobs.process(spark, root, table_name, dates=["2021-03-04", "2021-03-05"], mode="replace").rows == 2
+    assert documents_of(spark, table_name, root).count() == 2
+
+
+def test_a_null_day_is_refused_before_any_task(spark, csv, table_name, tmp_path):
+    jobs.dump(spark, csv(*GOOD, BAD), table_name)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(documents, "write", lambda *a, **b: pytest.fail("the write began"))
+        with pytest.raises(ValueError, match="null_index"):
+            jobs.process(spark, str(tmp_path / "documents"), table_name)
+
+
+def test_the_callers_zone_comes_back(spark, csv, table_name, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    jobs.dump(spark, csv(*GOOD), table_name)
+    assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    with held_zone(spark, "Asia/Tokyo"), pytest.raises(ValueError, match="held at 'Asia/Tokyo'"):
+        jobs.process(spark, str(tmp_path / "documents"), table_name)
+    assert jobs.process(spark, str(tmp_path / "documents"), table_name).rows == 2
+
+
+def test_writes_through_two_objects_of_a_session_share_what_is_held(spark):
+    other = SparkSession(spark.sparkContext, spark._jsparkSession)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    first, second = held_settings(spark), held_settings(other)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert other.conf.get(mode) == "dynamic"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(mode) == before
 
 
 def test_checked_dump_gives_the_same_table(spark, csv, table_name, tmp_path):
-    source = csv(*GOOD, BAD, GOOD[0] + ",extra", "short,2014-01-31 00:00:00")
+    source = csv(*GOOD, BAD, GOOD[0] + ",extra", "short,2021-03-04 00:00:00")
     jobs.dump(spark, source, table_name)
     jobs.dump(spark, source, table_name + "_checked", rejects_path=str(tmp_path / "r"))
     assert Counter(spark.table(table_name).collect()) == Counter(spark.table(table_name + "_checked").collect())
@@ -108,17 +164,17 @@ def test_trip_without_pickup_stops_the_documents_unless_an_index_is_named(spark,
     root = str(tmp_path / "documents")
     jobs.dump(spark, csv(*GOOD, BAD), table_name)
     with pytest.raises(PySparkException, match="no value for a field"):
-        jobs.process(spark, root, table_name)
+        jobs.process(spark, root, table_name, template="{pickup_datetime}")
     assert jobs.process(spark, root, table_name, null_index="taxi-undated").rows == 3
     assert documents_of(spark, table_name, root, "taxi-undated").count() == 1
 
 
 def test_zone_decides_the_day(spark, csv, table_name, tmp_path):
     jobs.dump(spark, csv(GOOD[1]), table_name, zone="America/New_York")
-    assert spark.table(table_name).first().date == "2014-02-01"
+    assert spark.table(table_name).first().date == "2021-03-05"
     root = str(tmp_path / "documents")
     jobs.process(spark, root, table_name, zone="America/New_York")
-    assert documents_of(spark, table_name, root).first().timestamp == "2014-02-01T23:56:12.000-0500"
+    assert documents_of(spark, table_name, root).first().timestamp == "2021-03-05T23:50:10.000-0500"
 
 
 def test_process_in_a_session_that_does_not_know_the_table(spark, csv, table_name, tmp_path):
@@ -143,9 +199,11 @@ def test_process_shuffles_only_if_the_table_is_not_laid_out_by_the_route(spark,
 def test_header_check(spark, tmp_path, table_name):
     path = tmp_path / "other.csv"
     path.write_text("a,b\n1,2\n")
-    with pytest.raises(ValueError, match="header"):
-        jobs.dump(spark, str(path), table_name, check_header=True)
-    assert not spark.catalog.tableExists(table_name)
+    for rejects in (None, str(tmp_path / "rejects")):
+        with pytest.raises((PySparkException, Py4JJavaError), match="header"):
+            jobs.dump(spark, str(path), table_name, check_header=True, rejects_path=rejects)
+    # Each file's header is read by the task that reads its rows, so the table is there, without rows.
+    assert spark.table(table_name).count() == 0
 
 
 def test_scratch_is_in_the_shared_folder_if_one_is_named():

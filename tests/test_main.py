@@ -16,4 +16,8 @@ def test_dump_process_and_sql(spark, table_name, tmp_path, capsys):
     spark.sql(f"drop table {table_name}")
     main([*common, "sql", f"select count(*) as n from {table_name}"])
     assert "|3  |" in capsys.readouterr().out
-    assert (tmp_path / "documents" / "index=taxi-2014-01-31").is_dir()
+    main([*common, "sql", f"select vendor_id from {table_name}", "--to", str(tmp_path / "whole"), "--format", "csv"])
+    assert len([x for p in (tmp_path / "whole").glob("*.csv") for x in p.read_text().splitlines() if x != "vendor_id"]) == 3
+    main([*common, "process", root, "--mode", "replace", "--dates", "2021-03-04"])
+    assert "rows=1" in capsys.readouterr().out
+    assert (tmp_path / "documents" / "index=taxi-2021-03-04").is_dir()

@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
-from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from tripmill.operators import table
@@ -241,13 +240,35 @@ def test_type_drift_names_every_column_and_widens_nothing(spark, base, table_nam
     assert "extra" not in spark.table(table_name).columns
 
 
-def test_value_out_of_range_fails_and_changes_nothing(spark, base, table_name):
-    table.write(base, table_name)
-    wide = frame(spark, (2**40, "w", "2024-01-02"), (5, "v", "2024-01-01"), ddl="a bigint, b string, date string")
-    with held_settings(spark, {"spark.sql.storeAssignmentPolicy": "LEGACY"}):
-        with pytest.raises(ArithmeticException, match="`a`"):
-            table.write(wide, table_name)
-    assert content(spark, table_name) == BASE
+@pytest.mark.parametrize(
+    ("have", "want"),
+    [
+        ("bigint", "int"), ("double", "int"), ("bigint", "double"), ("int", "float"), ("double", "float"),
+        ("timestamp", "date"), ("decimal(10,2)", "decimal(9,2)"), ("decimal(10,2)", "decimal(10,1)"),
+        ("decimal(5,2)", "double"), ("bigint", "decimal(18,0)"), ("array<double>", "array<int>"), ("string", "int"),
+    ],
+)
+def test_what_would_lose_values_is_refused_by_name_before_ddl(spark, table_name, have, want):
+    table.write(spark.sql(f"select cast(null as {want}) as n, 'x' as s, '2024-01-01' as date"), table_name)
+    drifted = spark.sql(f"select cast(null as {have}) as n, 1 as extra, 'x' as s, '2024-01-02' as date")
+    with pytest.raises(TypeError, match="n: "):
+        table.write(drifted, table_name)
+    assert spark.table(table_name).columns == ["n", "s", "date"] and spark.table(table_name).count() == 1
+
+
+@pytest.mark.parametrize(
+    ("have", "want"),
+    [
+        ("tinyint", "int"), ("int", "bigint"), ("int", "double"), ("float", "double"), ("smallint", "float"),
+        ("decimal(9,2)", "decimal(10,2)"), ("int", "decimal(10,0)"), ("date", "timestamp"), ("bigint", "string"),
+    ],
+)
+def test_what_widens_is_taken(spark, table_name, have, want):
+    table.write(spark.sql(f"select cast(null as {want}) as n, 'x' as s, '2024-01-01' as date"), table_name)
+    value = "date'2024-05-06'" if have == "date" else "7"
+    table.write(spark.sql(f"select cast({value} as {have}) as n, 'x' as s, '2024-01-02' as date"), table_name)
+    [row] = spark.table(table_name).where("date = '2024-01-02'").selectExpr("n is not null as kept").collect()
+    assert row.kept
 
 
 def test_types_that_fit(spark, table_name):
@@ -327,11 +348,33 @@ def test_location_without_data(spark, base, table_name, tmp_path):
     table.write(base.where("a > 9"), table_name, location=location)
     Path(location).mkdir(exist_ok=True)
     spark.sql(f"drop table {table_name}")
-    assert not table.attach(spark, table_name, location)
-    assert table.write(base, table_name, location=location).created
+    assert table.attach(spark, table_name, location)
+    assert not table.write(base, table_name, location=location).created
     assert content(spark, table_name) == BASE
 
 
+def test_columns_of_an_empty_load_survive_without_a_job_over_footers(spark, base, table_name, tmp_path):
+    location = str(tmp_path / "t")
+    table.write(base, table_name, location=location)
+    table.write(base.where("a > 9").withColumn("c", F.lit(0.5)), table_name)
+    columns = spark.table(table_name).columns
+    spark.sql(f"drop table {table_name}")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "parquet", lambda *a, **b: pytest.fail("footers were read"))
+        assert table.attach(spark, table_name, location)
+    assert spark.table(table_name).columns == columns and "c" in columns
+    assert spark.table(table_name).where("c is not null").count() == 0
+    assert len(content(spark, table_name)) == len(BASE)
+
+
+def test_one_text_is_one_name(spark, table_name):
+    df = spark.sql("select 1 as `a.b`, 'x' as c, '2024-01-15' as day union all select 2, 'y', '2024-01-16'")
+    table.write(df, table_name, "day")
+    assert read_table(spark, table_name, dates="2024-01-15", columns="a.b", by="day").collect()[0][0] == 1
+    assert read_table(spark, table_name, dates=["2024-01-15"], by="day").count() == 1
+    assert read_table(spark, table_name, since="2024-01-16", columns=["c"], by="day").collect()[0].c == "y"
+
+
 def test_attach_with_a_given_schema(spark, base, table_name, tmp_path):
     table.write(base, table_name, location=str(tmp_path / "t"))
     spark.sql(f"drop table {table_name}")

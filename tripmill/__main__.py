@@ -5,6 +5,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from tripmill.functions.names import quote_table
 from tripmill.operators import table
 from tripmill.plans import jobs
 from tripmill.schema import INDEX_EXCLUDES, INDEX_TEMPLATE, TRIP_TABLE
@@ -34,11 +35,16 @@ def main(arguments: list[str] | None = None) -> None:
     process.add_argument("--template", default=INDEX_TEMPLATE)
     process.add_argument("--exclude", nargs="*", default=list(INDEX_EXCLUDES))
     process.add_argument("--mode", choices=["append", "replace"], default="append")
+    process.add_argument("--dates", nargs="+", help="only these days")
+    process.add_argument("--since", help="only from this day on")
+    process.add_argument("--until", help="only up to this day")
     process.add_argument("--null-index", help="index for rows the template has a null for; they fail the job otherwise")
 
     sql = commands.add_parser("sql", help="show the result of a SQL text")
     sql.add_argument("text")
     sql.add_argument("--rows", type=int, default=100, help="show at most this many")
+    sql.add_argument("--to", help="write the whole result to this path instead of showing it")
+    sql.add_argument("--format", default="json", help="of what is written: json, csv, parquet, orc")
 
     args = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
@@ -46,9 +52,13 @@ def main(arguments: list[str] | None = None) -> None:
     spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     if args.command == "sql":
         use_zone(spark, args.zone)
-        if args.location is not None:
+        if args.location is not None and not spark.catalog.tableExists(quote_table(args.table)):
             table.attach(spark, args.table, args.location)
-        spark.sql(args.text).show(args.rows, truncate=False)
+        result = spark.sql(args.text)
+        if args.to is None:
+            result.show(args.rows, truncate=False)
+        else:
+            result.write.format(args.format).option("header", True).save(args.to)
         return
     common = {"location": args.location, "zone": args.zone}
     if args.command == "dump":
@@ -71,6 +81,9 @@ def main(arguments: list[str] | None = None) -> None:
             mode=args.mode,
             null_index=args.null_index,
             cluster=args.cluster,
+            dates=args.dates,
+            since=args.since,
+            until=args.until,
             **common,
         )
     print(result)

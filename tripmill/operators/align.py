@@ -3,10 +3,18 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     AtomicType,
+    ByteType,
     DataType,
     DateType,
-    NumericType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
     StringType,
     StructType,
     TimestampNTZType,
@@ -15,7 +23,11 @@ from pyspark.sql.types import (
 
 from tripmill.functions.names import by_lower_name, column
 
-_TIMES = (DateType, TimestampType, TimestampNTZType)
+# Decimal digits the whole numbers need, narrowest first.
+_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+# Whole numbers that each kind of fraction holds exactly.
+_EXACT = {FloatType: (ByteType, ShortType), DoubleType: (ByteType, ShortType, IntegerType, FloatType)}
 
 
 def align(df: DataFrame, schema: StructType) -> DataFrame:
@@ -41,10 +53,13 @@ def missing_from(df: DataFrame, schema: StructType) -> StructType:
 
 
 def check_types(df: DataFrame, schema: StructType) -> None:
-    """Refuse input whose plain types the insert would refuse, naming every such column at once.
+    """Refuse input that the table's types do not hold as it is, naming every such column at once.
 
-    Spark's insert rules (ANSI) hold: numbers fit numbers (out-of-range values fail while writing),
-    dates fit timestamps, anything plain fits text. Nested types are left to the insert.
+    Whole numbers fit wider ones, fractions and decimals that hold all their values; ``float`` fits
+    ``double``, a decimal one with no fewer digits on either side, a date a timestamp. Timestamps with
+    and without zone fit each other, as times of the session zone. Anything plain fits text. So bigint
+    into int, bigint or a decimal into double, and a timestamp into a date are refused, whatever the values.
+    Nested types must fit part by part.
     """
     target = {field.name.lower(): field.dataType for field in schema}
     drifted = [
@@ -57,8 +72,28 @@ def check_types(df: DataFrame, schema: StructType) -> None:
 
 
 def _fits(have: DataType, want: DataType) -> bool:
-    if not (isinstance(have, AtomicType) and isinstance(want, AtomicType)) or type(have) is type(want):
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return _fits(have.elementType, want.elementType)
+    if isinstance(have, MapType) and isinstance(want, MapType):
+        return _fits(have.keyType, want.keyType) and _fits(have.valueType, want.valueType)
+    if isinstance(have, StructType) and isinstance(want, StructType):
+        pairs = zip(have.fields, want.fields, strict=False)
+        return len(have) == len(want) and all(_fits(a.dataType, b.dataType) for a, b in pairs)
+    if isinstance(have, DecimalType) and isinstance(want, DecimalType):
+        whole = have.precision - have.scale <= want.precision - want.scale
+        return whole and have.scale <= want.scale
+    if type(have) is type(want):
         return True
+    if not (isinstance(have, AtomicType) and isinstance(want, AtomicType)):
+        # Others have no common form; a void column is null throughout.
+        return not isinstance(have, AtomicType) and have.simpleString() == "void"
     if isinstance(want, StringType):
         return True
-    return any(isinstance(have, kind) and isinstance(want, kind) for kind in (NumericType, _TIMES))
+    if type(have) in _DIGITS and type(want) in _DIGITS:
+        return _DIGITS[type(have)] <= _DIGITS[type(want)]
+    if type(have) in _DIGITS and isinstance(want, DecimalType):
+        return _DIGITS[type(have)] <= want.precision - want.scale
+    if type(want) in _EXACT:
+        return isinstance(have, _EXACT[type(want)])
+    moments = (TimestampType, TimestampNTZType)
+    return isinstance(want, moments) and isinstance(have, (DateType, *moments))

@@ -29,7 +29,7 @@ def route(df: DataFrame, template: str, null_index: str | None = None) -> Column
     """Turn a template such as ``taxi-{date}`` into a column holding each row's index name.
 
     Any number of ``{field}`` parts may be used; doubled braces stand for themselves. A row with a
-    null in one of them goes to ``null_index``, or fails the job when none is given.
+    null in one of them, or whose whole name is empty, goes to ``null_index``, or fails the job when none is given.
     """
     have = by_lower_name(df.columns)
     parts: list[Column] = []
@@ -48,12 +48,19 @@ def route(df: DataFrame, template: str, null_index: str | None = None) -> Column
         if null_index is None
         else F.lit(null_index)
     )
-    return F.coalesce(F.concat(*parts), otherwise)
+    return F.coalesce(F.nullif(F.concat(*parts), F.lit("")), otherwise)
 
 
 def document_schema(schema: StructType, exclude: Sequence[str] | str = ()) -> StructType:
-    """The schema of the documents made from rows of ``schema``, with the index they are in."""
-    dropped = {name.lower() for name in ([exclude] if isinstance(exclude, str) else exclude)}
+    """The schema of the documents made from rows of ``schema``, with the index they are in.
+
+    A field to be left out that is not there is an error: a mistyped name would store what it is to hide.
+    """
+    names = [exclude] if isinstance(exclude, str) else list(exclude)
+    dropped = {name.lower() for name in names}
+    unknown = [name for name in names if name.lower() not in {have.lower() for have in schema.names}]
+    if unknown:
+        raise ValueError(f"there is no column {', '.join(map(repr, unknown))} to leave out")
     kept = [f for f in schema if f.name.lower() not in dropped]
     return StructType([*kept, StructField(INDEX, StringType())])
 

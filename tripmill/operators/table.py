@@ -1,5 +1,6 @@
 """The partitioned table: create it from a frame, grow its schema, replace the partitions that get rows."""
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -17,6 +18,12 @@ from tripmill.session import held_settings
 
 log = logging.getLogger(__name__)
 
+# Beside the partitions; names that begin so are not read as data.
+_SCHEMA = "_tripmill_schema"
+
+# Fixed value: how a null partition is named.
+_NULL = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class WriteResult:
@@ -59,12 +66,15 @@ def attach(
 ) -> bool:
     """Enter the table an earlier session wrote at ``location`` into this session's catalog.
 
-    Needed only where the catalog does not outlive a session. False if there is no data. Without
-    ``schema`` the columns are merged from the file footers, a Spark job over all files; pass it
-    where there are many.
+    Needed only where the catalog does not outlive a session. False if there is no table. Its columns are
+    those of ``schema``, else those the writer keeps in a file at the location, else they are merged from
+    the file footers, a Spark job over all files.
     """
     if not _exists(spark, location):
         return False
+    if schema is None and _exists(spark, f"{location.rstrip('/')}/{_SCHEMA}/_SUCCESS"):
+        kept = spark.read.schema("value string").text(f"{location.rstrip('/')}/{_SCHEMA}", wholetext=True)
+        schema = StructType.fromJson(json.loads(kept.head().value))
     if schema is None:
         try:
             with held_settings(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
@@ -78,6 +88,24 @@ def attach(
     return True
 
 
+def keep_schema(spark: SparkSession, name: str) -> None:
+    """Keep the table's columns in a file at its location, for ``attach``: what footers alone cannot tell."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(name)}")
+    place = described.where("col_name = 'Location'").head()
+    if place is not None:
+        text = json.dumps(spark.table(quote_table(name)).schema.jsonValue())
+        kept = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        kept.write.mode("overwrite").text(f"{place.data_type.rstrip('/')}/{_SCHEMA}")
+
+
+def null_partitions(spark: SparkSession, name: str, columns: set[str]) -> bool:
+    """Whether the table has a partition with a null in one of the columns (lower-cased names). No data is read."""
+    parts = spark.sql(f"SHOW PARTITIONS {quote_table(name)}")
+    each = F.explode(F.split("partition", "/")).alias("part")
+    null = F.lower(F.regexp_replace("part", "=.*", "")).isin(list(columns)) & F.col("part").endswith(f"={_NULL}")
+    return bool(columns) and parts.select(each).where(null).head() is not None
+
+
 def write(
     df: DataFrame,
     name: str,
@@ -102,7 +130,7 @@ def write(
     spark = df.sparkSession
     table = quote_table(name)
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    log.info("processing table %s", name)
+    log.info("loading into %s", name)
     _check_keys(df, partition_by)
 
     known = spark.catalog.tableExists(table)
@@ -117,6 +145,8 @@ def write(
         check_types(df, current)
         added = add_columns(spark, name, missing_from(df, current))
 
+    if not known or added:
+        keep_schema(spark, name)
     rows = align(df, spark.table(table).schema)
     if preview:
         rows.show(preview)

@@ -1,6 +1,6 @@
 """The two batch jobs."""
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from typing import Literal
 
@@ -13,8 +13,9 @@ from tripmill.functions.trips import enrich, with_date
 from tripmill.operators import documents, table
 from tripmill.operators.table import WriteResult
 from tripmill.schema import INDEX_EXCLUDES, INDEX_TEMPLATE, TRIP, TRIP_TABLE
-from tripmill.session import use_zone
+from tripmill.session import held_zone
 from tripmill.sources.csv import RAW, is_reject, read_checked_csv, read_csv, rejects_of, rows_of
+from tripmill.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -38,20 +39,37 @@ def dump(
     """CSV into the date-partitioned table, replacing the days the input holds.
 
     With ``rejects_path`` the rows with bad cells are also written there as JSON, as they stood in the
-    file. They stay in the table with nulls in place of those cells. The CSV is read a second time
-    for this, and only if the first pass met a bad cell.
+    file, in place of an earlier report. They stay in the table with nulls in place of those cells. If the
+    first pass meets a bad cell, all of the CSV is read a second time for the report: two reads of the text.
+    The table is written first; if the report then fails, the table stays as loaded and the run fails.
+
+    The session has this zone (UTC by default) while the job runs, and the caller's again after it.
     """
-    use_zone(spark, zone)
-    if rejects_path is None:
-        rows = read_csv(spark, csv_path, schema, check_header=check_header)
-        return DumpResult(table.write(with_date(rows), table_name, location=location, cluster=cluster))
+    with held_zone(spark, zone):
+        if rejects_path is None:
+            rows = read_csv(spark, csv_path, schema, check_header=check_header)
+            return DumpResult(table.write(with_date(rows), table_name, location=location, cluster=cluster))
+        return _dump_checked(spark, csv_path, table_name, schema, location, rejects_path, check_header, cluster)
+
 
+def _dump_checked(
+    spark: SparkSession,
+    csv_path: str | list[str],
+    table_name: str,
+    schema: StructType,
+    location: str | None,
+    rejects_path: str,
+    check_header: bool,
+    cluster: bool,
+) -> DumpResult:
     checked = read_checked_csv(spark, csv_path, schema, check_header=check_header)
     seen = Observation()
     # Only asked whether it is zero: below the shuffle a task that runs again may count twice.
     observed = checked.drop(RAW).observe(seen, F.count_if(is_reject()).alias("rejects"))
     written = table.write(with_date(rows_of(observed)), table_name, location=location, cluster=cluster)
     if not seen.get["rejects"]:
+        # What an earlier load left there is not this one's report.
+        rejects_of(checked).limit(0).write.mode("overwrite").json(rejects_path)
         return DumpResult(written, 0)
     kept = Observation()
     rejects = rejects_of(checked).observe(kept, F.count(F.lit(1)).alias("rows"))
@@ -71,21 +89,41 @@ def process(
     null_index: str | None = None,
     cluster: bool | None = None,
     zone: str | None = None,
+    dates: Iterable[str] | str | None = None,
+    since: str | None = None,
+    until: str | None = None,
 ) -> WriteResult:
     """The table's trips, enriched, into one document index per day.
 
-    ``location`` is needed only if this session's catalog does not know the table yet. The table is
-    read in the order of its partitions, so its rows are shuffled by index only if the template draws
-    on other columns than those; ``cluster`` decides otherwise.
+    ``dates``, ``since`` and ``until`` choose days, as ``read_table`` takes them; other partitions are not read.
+    ``location`` is needed only if this session's catalog does not know the table yet. A task reads parts
+    of files, each of one partition, so rows are shuffled by index only if the template draws
+    on other columns than those of the partitions; ``cluster`` decides otherwise. Where it draws on nothing else,
+    a null partition that would fail the job is refused before it starts.
+
+    The session has this zone (UTC by default) while the job runs, and the caller's again after it.
     """
-    use_zone(spark, zone)
+    with held_zone(spark, zone):
+        return _process(
+            spark, root, table_name, template, exclude, location, mode, null_index, cluster, dates, since, until
+        )
+
+
+def _process(
+    spark, root, table_name, template, exclude, location, mode, null_index, cluster, dates, since, until
+) -> WriteResult:
     if location is not None and not spark.catalog.tableExists(quote_table(table_name)):
         table.attach(spark, table_name, location)
     name = quote_table(table_name)
+    partitioned_by = {c.name.lower() for c in spark.catalog.listColumns(name) if c.isPartition}
+    by_partition = documents.template_fields(template) <= partitioned_by
     if cluster is None:
-        partitioned_by = {c.name.lower() for c in spark.catalog.listColumns(name) if c.isPartition}
-        cluster = not documents.template_fields(template) <= partitioned_by
-    trips = spark.table(name).transform(enrich)
+        cluster = not by_partition
+    # A null day is among the chosen ones only where none are chosen.
+    everything = dates is None and since is None and until is None
+    if by_partition and everything and null_index is None and table.null_partitions(spark, name, documents.template_fields(template)):
+        raise ValueError(f"{table_name} has rows without a value for index template {template}; name a null_index for them")
+    trips = read_table(spark, table_name, dates=dates, since=since, until=until).transform(enrich)
     return documents.write(
         trips, root, template, exclude=exclude, mode=mode, null_index=null_index, cluster=cluster
     )

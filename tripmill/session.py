@@ -1,5 +1,7 @@
 """Session settings: the time zone, settings held during a write, and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import threading
 import uuid
@@ -28,19 +30,39 @@ WRITE_SETTINGS = {
 WRITE_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    # How much a task reads: fewer tasks of a large load leave fewer sizes on the driver. Small loads are
+    # divided by the number of cores all the same.
+    "spark.sql.files.maxPartitionBytes": "512m",
 }
 
+ZONE = "spark.sql.session.timeZone"
+
 _lock = threading.Lock()
-_held: dict[tuple[int, str], list] = {}
+# By session and key: how many hold it, the caller's value, the held value.
+_held: dict[tuple[str, str], list] = {}
+_local_root: list[str] = []
+
+
+def _session(spark: SparkSession) -> str:
+    """The same for all Python objects of one JVM session, to which the settings belong."""
+    return spark._jsparkSession.sessionUUID()
 
 
 def use_zone(spark: SparkSession, zone: str | None = None) -> str:
     """Set the session zone (UTC unless told otherwise), so days and hours mean the same everywhere."""
     zone = zone or DEFAULT_ZONE
-    spark.conf.set("spark.sql.session.timeZone", zone)
+    spark.conf.set(ZONE, zone)
     return zone
 
 
+def held_zone(spark: SparkSession, zone: str | None = None):
+    """Hold the session zone (UTC unless told otherwise) while a job runs, then give the caller's back.
+
+    Jobs that overlap in one session must be of one zone, as it is the session's: another is refused.
+    """
+    return held_settings(spark, {ZONE: zone or DEFAULT_ZONE}, {})
+
+
 @contextmanager
 def held_settings(
     spark: SparkSession,
@@ -50,25 +72,32 @@ def held_settings(
     """Hold settings while a write runs, then give the caller's values back.
 
     The defaults are held only where the caller has no value. Writes of one session may overlap in
-    threads: the first one in remembers the caller's value and the last one out restores it, so no
-    write sees dynamic overwrite switched off while it runs.
+    threads or through several objects of the session: the first one in remembers the caller's value and
+    the last one out restores it, so no write sees dynamic overwrite switched off while it runs. A zone
+    other than the one that is held is an error.
     """
     entered = []
+    session = _session(spark)
     try:
         with _lock:
-            for key, value in _with_defaults(spark, settings, defaults).items():
+            chosen = _with_defaults(spark, settings, defaults)
+            for key, value in chosen.items():
+                entry = _held.get((session, key))
+                if key == ZONE and entry is not None and entry[2] != value:
+                    raise ValueError(f"{key} is held at {entry[2]!r} by what runs in this session, and cannot be {value!r}")
+            for key, value in chosen.items():
                 before = spark.conf.get(key, None)
                 spark.conf.set(key, value)
-                _held.setdefault((id(spark), key), [0, before])[0] += 1
+                _held.setdefault((session, key), [0, before, value])[0] += 1
                 entered.append(key)
         yield
     finally:
         with _lock:
             for key in entered:
-                entry = _held[(id(spark), key)]
+                entry = _held[(session, key)]
                 entry[0] -= 1
                 if entry[0] == 0:
-                    del _held[(id(spark), key)]
+                    del _held[(session, key)]
                     if entry[1] is None:
                         spark.conf.unset(key)
                     else:
@@ -81,7 +110,7 @@ def _with_defaults(
     chosen = dict(settings)
     for key, value in defaults.items():
         now = spark.conf.get(key, None)
-        if now is None or (now == value and (id(spark), key) in _held):
+        if now is None or (now == value and (_session(spark), key) in _held):
             chosen.setdefault(key, value)
     return chosen
 
@@ -92,5 +121,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tripmill-")
+        with _lock:
+            if not _local_root:
+                # One for all local sessions of the process. What reads it ends with the process at the latest.
+                _local_root.append(tempfile.mkdtemp(prefix="tripmill-"))
+                atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
+        shared = _local_root[0]
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

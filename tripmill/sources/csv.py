@@ -21,8 +21,7 @@ from tripmill.schema import TRIP
 
 BAD_CELLS = "bad_cells"
 RAW = "raw"
-BEYOND = "beyond_schema"
-_UNREAD = "never_read"
+LINE = "line"
 
 # The only words that the CSV reader takes for numbers that are not finite.
 _WORDS = r"^(-?Inf|\s*[+-]?(Infinity|NaN)\s*)$"
@@ -38,16 +37,15 @@ def read_csv(
 ) -> DataFrame:
     """Read headered CSV, binding cells to columns by position.
 
-    The header line is skipped. Its names count only with ``check_header``, which compares those of
-    the first file, without regard to case and outer blanks. A cell that does not parse is null and
-    the rest of its row is kept; short rows end in nulls; cells beyond the schema are cut; blank
-    lines are ignored.
+    The header line is skipped. With ``check_header`` its names count: those of each file are compared
+    with the declared ones by the task that opens it, without regard to case, and another header fails
+    the read. A cell that does not parse is null and the rest of its row is kept; short rows end in
+    nulls; cells beyond the schema are cut; blank lines are ignored.
     """
-    if check_header:
-        _compare_header(spark, path, schema)
     # The zone of this moment, also if the session's changes before the frame is used.
     zone = spark.conf.get("spark.sql.session.timeZone")
-    return spark.read.schema(schema).option("header", True).option("timeZone", zone).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", not check_header)
+    return reader.option("timeZone", zone).csv(path)
 
 
 def read_checked_csv(
@@ -60,26 +58,26 @@ def read_checked_csv(
     """Read like ``read_csv`` and add ``bad_cells`` (names of the bad columns) and ``raw`` (the texts).
 
     All cells are read as text and cast here, so a bad cell is found no matter which columns a query
-    goes on to use. A row with more cells than the schema is reported under ``beyond_schema``, and
-    the first cell too many is kept in ``raw``. A short row looks like one that ends in empty cells
-    and is not reported. Whole numbers must be written in ASCII digits.
+    goes on to use. A row with more or fewer cells than the schema is reported under ``line``, and ``raw``
+    then keeps its whole line, all surplus cells with it. Whole numbers must be written in ASCII digits.
     """
-    if check_header:
-        _compare_header(spark, path, schema)
-    # The last column is never selected. With it a full row is never shorter than what is selected, so
-    # the parser stays on its column-pruned path and does not treat each good row as a malformed one.
-    texts = StructType([StructField(n, StringType()) for n in [*schema.names, BEYOND, _UNREAD]])
-    cells = spark.read.schema(texts).option("header", True).csv(path).drop(_UNREAD)
+    # Spark's text of malformed records tells rows by their number of cells, as nothing else can be wrong
+    # with text. It depends on which columns are read, so all are: every reject is asked about all of them.
+    texts = StructType([StructField(n, StringType()) for n in [*schema.names, LINE]])
+    reader = spark.read.schema(texts).option("header", True).option("enforceSchema", not check_header)
+    cells = reader.option("columnNameOfCorruptRecord", LINE).option("columnPruning", False).csv(path)
     typed = cells.select(
         *[_cell(column(f.name), f.dataType).alias(f.name) for f in schema],
-        F.struct(*[column(n) for n in [*schema.names, BEYOND]]).alias(RAW),
+        F.struct(*[column(n) for n in [*schema.names, LINE]]).alias(RAW),
     )
     bad = {
         f.name: F.col(RAW)[f.name].isNotNull() & column(f.name).isNull()
         for f in schema
         if not isinstance(f.dataType, StringType)
     }
-    bad[BEYOND] = F.col(RAW)[BEYOND].isNotNull()
+    # The first column is asked as well, since Spark does not read the text of malformed records alone.
+    first = F.coalesce(F.col(RAW)[schema.names[0]], F.lit(""))
+    bad[LINE] = F.col(RAW)[LINE].isNotNull() & (F.length(first) >= 0)
     names = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in bad.items()]))
     # Most rows are good: ask that first, and only then put the names together.
     bad_cells = F.when(reduce(or_, bad.values()), names).otherwise(F.array().cast("array<string>"))
@@ -92,7 +90,10 @@ def rows_of(checked: DataFrame) -> DataFrame:
 
 
 def rejects_of(checked: DataFrame) -> DataFrame:
-    """The rows with bad cells: every cell as it stood in the file, and the names of the bad ones."""
+    """The rows with bad cells: every cell as it stood in the file, and the names of the bad ones.
+
+    ``line`` has the whole line where the number of its cells is not that of the schema.
+    """
     return checked.where(is_reject()).select(f"{RAW}.*", BAD_CELLS)
 
 
@@ -112,10 +113,3 @@ def _cell(text: Column, data_type: DataType) -> Column:
         return value
     raise ValueError(f"a checked read has no rule for {data_type.simpleString()} cells")
 
-
-def _compare_header(spark: SparkSession, path: str | list[str], schema: StructType) -> None:
-    # Without inference this reads the first line of one file.
-    header = [name.strip().lower() for name in spark.read.option("header", True).csv(path).columns]
-    declared = [name.lower() for name in schema.names]
-    if header != declared:
-        raise ValueError(f"header {header} does not name the declared columns {declared}")
