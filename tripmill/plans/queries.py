@@ -172,6 +172,33 @@ def csv_bad_cells_are_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trip_id", "vendor_id", "passenger_count", "fare_amount", "total_amount")
 
 
+@register(_TRIPS + "select trip_id, vendor_id, total_amount from t")
+def csv_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of several files, of different sizes, are all compared with the declared names."""
+    trips = derive_trips(spark, sf_dir)
+    paths = [_as_csv(trips.where(F.pmod("trip_id", F.lit(7)).isin(part))) for part in ([0], [1, 2], [3, 4, 5, 6])]
+    read = read_csv(spark, paths, _TRIP_WITH_ID, check_header=True)
+    return read.select("trip_id", "vendor_id", "total_amount")
+
+
+@register(
+    "select cast(event_id as varchar) as trip_id, event_id || ',' || event_type || ',a,,b c,d,' || event_id as line, "
+    "'line' as bad_cells from events where event_type = 'error'"
+)
+def csv_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with five cells too many keep all of them in the report."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = F.concat_ws(",", "event_id", "event_type")
+    surplus = F.when(F.col("event_type") == "error", F.concat(F.lit(",a,,b c,d,"), "event_id")).otherwise(F.lit(""))
+    # Written as one column under the header of two, so no cell is quoted for its commas.
+    path = scratch_path(spark, "lines")
+    lines = events.select(F.concat(text, surplus).alias("trip_id,vendor_id"))
+    lines.write.option("header", True).option("sep", "\u0001").csv(path)
+    schema = StructType().add("trip_id", "string").add("vendor_id", "string")
+    rejects = rejects_of(read_checked_csv(spark, path, schema, check_header=True))
+    return rejects.select("trip_id", "line", F.array_join("bad_cells", ",").alias("bad_cells"))
+
+
 # --- derived columns and aggregates ------------------------------------------------------------
 
 
@@ -334,6 +361,35 @@ def table_wide_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    _TRIPS + "select trip_id, cast(passenger_count as bigint) as n, "
+    "case when weekend then cast(passenger_count as double) else total_amount end as amount, "
+    "case when weekend then '2024-02-03 00:00:00' else '2024-02-03 04:05:06' end as at, date from t"
+)
+def table_widening_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of narrower types into a table of wider ones."""
+    trips = with_date(derive_trips(spark, sf_dir))
+    n, amount = F.col("passenger_count").alias("n"), F.col("total_amount").alias("amount")
+    at = F.lit("2024-02-03 04:05:06").cast("timestamp").alias("at")
+    wide = trips.select("trip_id", n.cast("bigint").alias("n"), amount, at, "date")
+    whole, day = F.col("passenger_count").alias("amount"), F.lit("2024-02-03").cast("date").alias("at")
+    narrow = _weekends(trips.select("trip_id", n, whole, day, "date"))
+    stored = _written(wide, narrow)
+    return stored.withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register(_TRIPS + "select trip_id, vendor_id, total_amount, cast(null as double) as surcharge, date from t")
+def table_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose catalog entry is gone, entered again from its location with a column that no file has."""
+    trips = _dated(spark, sf_dir)
+    name, location = _new_table(spark)
+    table.write(trips, name, location=location)
+    table.write(trips.where("total_amount < 0").withColumn("surcharge", F.lit(0.5)), name)
+    spark.sql(f"drop table {name}")
+    table.attach(spark, name, location)
+    return spark.table(name)
+
+
 @register(
     _TRIPS + "select total_amount, cast(null as integer) as rate_code, trip_id, cast(null as varchar) as note from t"
 )
@@ -401,6 +457,16 @@ def doc_null_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, root, document_schema(trips.schema, hidden))
 
 
+@register(_TRIPS + """select trip_id, case when vendor_id = 'error' then 'none' else vendor_id end as "index" from t""")
+def doc_empty_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose index name is empty go where those without one go."""
+    vendor = F.when(F.col("vendor_id") == "error", F.lit("")).otherwise(F.col("vendor_id"))
+    trips = derive_trips(spark, sf_dir).select("trip_id", vendor.alias("vendor"))
+    root = scratch_path(spark, "documents")
+    documents.write(trips, root, "{vendor}", exclude="vendor", null_index="none")
+    return read_documents(spark, root, document_schema(trips.schema, "vendor"))
+
+
 # --- jobs --------------------------------------------------------------------------------------
 
 
@@ -466,3 +532,34 @@ def documents_week_day_avg_duration(spark: SparkSession, sf_dir: str) -> DataFra
 @register(_HOURS)
 def documents_hour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_per_hour(_processed(spark, sf_dir))
+
+
+@register(
+    _TRIPS + "select date, 'n/a' as total_amount, 'total_amount' as bad_cells, count(*) as n from t "
+    "where vendor_id = 'error' group by date"
+)
+def job_dump_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a load with bad cells, in place of that of an earlier one."""
+    trips = derive_trips(spark, sf_dir).drop("trip_id")
+    total = F.when(F.col("vendor_id") == "error", F.lit("n/a")).otherwise(F.col("total_amount").cast("string"))
+    bad = _as_csv(trips.withColumn("total_amount", total))
+    worse = _as_csv(trips.withColumn("total_amount", F.lit("n/a")))
+    name, location = _new_table(spark)
+    report = scratch_path(spark, "rejects")
+    for csv in (worse, bad):
+        jobs.dump(spark, csv, name, location=location, rejects_path=report)
+    found = spark.read.schema("pickup_datetime string, total_amount string, bad_cells array<string>").json(report)
+    day = F.substring("pickup_datetime", 1, 10).alias("date")
+    rows = found.select(day, "total_amount", F.array_join("bad_cells", ",").alias("bad_cells"))
+    return rows.groupBy("date", "total_amount", "bad_cells").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    _TRIPS + """select vendor_id, total_amount, 'taxi-' || date as "index" from t
+    where date between '2024-01-10' and '2024-01-12'"""
+)
+def job_process_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, root = _dumped(spark, sf_dir), scratch_path(spark, "documents")
+    jobs.process(spark, root, name, since="2024-01-10", until="2024-01-12")
+    schema = document_schema(enrich(spark.table(name)).schema, ["date"])
+    return read_documents(spark, root, schema).select("vendor_id", "total_amount", "index")
