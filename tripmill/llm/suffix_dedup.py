@@ -257,37 +257,43 @@ def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with their spans, in any order and overlapping, to merged spans and the bytes that are left."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
-        size = np.diff(offsets)
-        lists = batch.column(2)
-        count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        of = lists.flatten()
-        row = np.repeat(np.arange(batch.num_rows), count)
-        start = np.minimum(of.field("start").to_numpy(zero_copy_only=False), size[row]) + offsets[row]
-        end = np.minimum(of.field("end").to_numpy(zero_copy_only=False), size[row]) + offsets[row]
-        cover = np.zeros(len(data) + 1, np.int32)
-        np.add.at(cover, start, 1)
-        np.add.at(cover, end, -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        edge = np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        before = np.append(False, gone[:-1]) & ~edge[:-1] if len(data) else gone
-        after = np.append(gone[1:], False) & ~edge[1:] if len(data) else gone
-        first, last = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
-        of_row = np.searchsorted(offsets, first, "right") - 1
-        merged = pa.StructArray.from_arrays(
-            [pa.array(first - offsets[of_row]), pa.array(last + 1 - offsets[of_row])], ["start", "end"]
-        )
-        kept = np.concatenate([[0], np.cumsum(~gone)])[offsets]
-        left = data[~gone]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(size, pa.int64()),
-                pa.ListArray.from_arrays(pa.array(np.searchsorted(of_row, np.arange(batch.num_rows + 1)), pa.int32()), merged),
-                pa.array([left[a:b].tobytes() for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True)], pa.binary()),
-            ],
-            ["id", "n_bytes", "spans", "kept"],
-        )
+        for lo, hi in slices(offsets, _SLICE_BYTES):
+            part = batch.slice(lo, hi - lo)
+            yield _without_spans(part, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+
+
+def _without_spans(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    size = np.diff(offsets)
+    lists = batch.column(2)
+    count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    of = lists.flatten()
+    row = np.repeat(np.arange(batch.num_rows), count)
+    start = np.minimum(of.field("start").to_numpy(zero_copy_only=False), size[row]) + offsets[row]
+    end = np.minimum(of.field("end").to_numpy(zero_copy_only=False), size[row]) + offsets[row]
+    cover = np.zeros(len(data) + 1, np.int32)
+    np.add.at(cover, start, 1)
+    np.add.at(cover, end, -1)
+    gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    before = np.append(False, gone[:-1]) & ~edge[:-1] if len(data) else gone
+    after = np.append(gone[1:], False) & ~edge[1:] if len(data) else gone
+    first, last = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
+    of_row = np.searchsorted(offsets, first, "right") - 1
+    merged = pa.StructArray.from_arrays(
+        [pa.array(first - offsets[of_row]), pa.array(last + 1 - offsets[of_row])], ["start", "end"]
+    )
+    kept = np.concatenate([[0], np.cumsum(~gone)])[offsets]
+    left = data[~gone]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column(0),
+            pa.array(size, pa.int64()),
+            pa.ListArray.from_arrays(pa.array(np.searchsorted(of_row, np.arange(batch.num_rows + 1)), pa.int32()), merged),
+            pa.array([left[a:b].tobytes() for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True)], pa.binary()),
+        ],
+        ["id", "n_bytes", "spans", "kept"],
+    )
 
 
 def _windows_one_by_one(contexts: DataFrame, length: int) -> DataFrame:
