@@ -27,8 +27,8 @@ from tripmill.llm._common import (
 )
 
 #: Bytes of text in a batch, and on average in what a part of the n-gram space is asked for.
-BATCH_BYTES = 8 << 20
-PART_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
+PART_BYTES = 8 << 20
 
 #: Hashes of what is no word: the end of a text, which counts as a token, and what stands before its first word.
 _END = np.uint64(0x5DEECE66D1CE4E5B)
@@ -67,9 +67,9 @@ def _batcher():
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for row_id, text, kind in rows:
-                text = text.encode()
+            # One by one: an Arrow batch may be many times as large as one of these.
+            for row_id, text, kind in zip(*batch.columns, strict=True):
+                row_id, text, kind = row_id.as_py(), text.as_py().encode(), kind.as_py()
                 waiting.setdefault(kind, []).append((row_id, text))
                 held[kind] = held.get(kind, 0) + len(text)
                 if held[kind] >= BATCH_BYTES:
