@@ -84,6 +84,21 @@ def test_small_pieces_parts_and_hot_anchors(spark, monkeypatch):
     assert result(repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
 
 
+def test_merged_spans():
+    random.seed(1)
+    for _ in range(50):
+        spans = [(d, a, a + random.randint(1, 9)) for d in (-5, 0, 7) for a in random.sample(range(60), random.randint(0, 12))]
+        random.shuffle(spans)
+        want = []
+        for d, a, e in sorted(spans):
+            if want and want[-1][0] == d and a <= want[-1][2]:
+                want[-1] = (d, want[-1][1], max(e, want[-1][2]))
+            else:
+                want.append((d, a, e))
+        columns = np.array(spans, np.int64).reshape(-1, 3).T
+        assert list(zip(*[x.tolist() for x in suffix_dedup._merged(*columns)], strict=True)) == want
+
+
 def test_pieces_of_long_texts():
     offsets = np.array([0, 10, 10, 400])
     begin, end, row, base = suffix_dedup._pieces(offsets, 100)

@@ -28,8 +28,8 @@ BATCH_BYTES = 8 << 20
 PART_BYTES = 16 << 20
 
 #: Bytes of contexts transformed together, and contexts of one anchor beyond which windows are compared one by one.
-SHARD_BYTES = 1 << 20
-HOT_CONTEXTS = 20_000
+SHARD_BYTES = 1 << 19
+HOT_CONTEXTS = 4_000
 
 #: Bytes whose hashes are in memory at a time, some hundred bytes for each.
 _SLICE_BYTES = 1 << 20
@@ -112,6 +112,21 @@ def _firsts(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.nd
     return rows, first, later
 
 
+def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans sorted, and those of one document that overlap or touch made one."""
+    if not len(doc):
+        return doc, start, end
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    same = doc[1:] == doc[:-1]
+    # The furthest end so far, within the document: documents are kept apart by more than any text is long.
+    apart = np.append(0, np.cumsum(~same)) << 40
+    furthest = np.maximum.accumulate(end + apart)
+    new = np.append(True, start[1:] + apart[1:] > furthest[:-1])
+    last = np.append(np.flatnonzero(new)[1:], len(new)) - 1
+    return doc[new], start[new], furthest[last] - apart[last]
+
+
 def _finder(length: int, parts: int):
     """Texts to rows for the parts: contexts (one of each kind in a batch), and places known to be repeats already."""
 
@@ -123,19 +138,22 @@ def _finder(length: int, parts: int):
             rows, first, later = _firsts([np.concatenate(c) for c in zip(*held, strict=True)])
             edges = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
             at = np.append(np.searchsorted(rows[0], edges), len(rows[0]))
+            if len(rows[3]) and rows[3].max() + 1000 >= 1 << 32:
+                raise ValueError("a text of over 4 GB")
+            # What the batch knows to repeat itself goes to all parts evenly, merged: it is not asked about again.
+            doc, start, count = (x[later] for x in rows[2:])
+            known = _merged(doc, start, start + count + (length - 1))
+            shares = [np.array_split(x, parts) for x in known]
             columns: list[list] = [[] for _ in range(8)]
-            for lo, hi in zip(at[:-1], at[1:], strict=True):
-                own = [[x[lo:hi][kept[lo:hi]] for x in rows] for kept in (first, later)]
-                sent = [*own[0], *own[1][2:]]
-                kinds = ["<u8", "<u8", "<i8", "<u4", "u1", "<i8", "<u4", "u1"]
-                if any(len(x) and x.max() >= 1 << 32 for x in (own[0][3], own[1][3])):
-                    raise ValueError("a text of over 4 GB")
+            for p, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
+                sent = [*[x[lo:hi][first[lo:hi]] for x in rows], *[share[p] for share in shares]]
+                kinds = ["<u8", "<u8", "<i8", "<u4", "u1", "<i8", "<u4", "<u4"]
                 for column, x, kind in zip(columns, sent, kinds, strict=True):
                     column.append(x.astype(kind).tobytes())
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(range(parts), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
-                ["part", "anchor", "context", "doc", "start", "count", "later_doc", "later_start", "later_count"],
+                ["part", "anchor", "context", "doc", "start", "count", "later_doc", "later_start", "later_end"],
             )
 
         for batch in batches:
@@ -179,9 +197,11 @@ def _judge(length: int):
         group = np.cumsum(new) - 1
         kinds = np.bincount(group[first])[group] if len(group) else group
         ask = first & (kinds > 1)
-        old_doc = np.concatenate([doc[later], read("later_doc", "<i8")])
-        old_start = np.concatenate([start[later], read("later_start", "<u4").astype(np.int64)])
-        old_count = np.concatenate([count[later], read("later_count", "u1").astype(np.int64)])
+        old_doc, old_start, old_end = _merged(
+            np.concatenate([doc[later], read("later_doc", "<i8")]),
+            np.concatenate([start[later], read("later_start", "<u4").astype(np.int64)]),
+            np.concatenate([(start + count)[later] + (length - 1), read("later_end", "<u4").astype(np.int64)]),
+        )
         n_old, n_ask = len(old_doc), int(ask.sum())
         return pa.table(
             {
@@ -189,7 +209,7 @@ def _judge(length: int):
                 "anchor": np.concatenate([np.zeros(n_old, np.int64), anchor[ask].view(np.int64)]),
                 "id": np.concatenate([old_doc, doc[ask]]),
                 "start": np.concatenate([old_start, start[ask]]),
-                "end": np.concatenate([old_start + old_count, start[ask] + count[ask]]) + (length - 1),
+                "end": np.concatenate([old_end, (start + count)[ask] + (length - 1)]),
             }
         )
 
@@ -353,7 +373,7 @@ def repeated_passages(
     rows, total = _placed(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")))
     texts = rows.select(F.col("place").alias("id"), "text")
     parts = max(1, -(-total // PART_BYTES))
-    sent = ", ".join(f"{c} binary" for c in "anchor context doc start count later_doc later_start later_count".split())
+    sent = ", ".join(f"{c} binary" for c in "anchor context doc start count later_doc later_start later_end".split())
     judged = materialised(
         texts.mapInArrow(_finder(length, parts), f"part int, {sent}")
         .groupBy("part")
