@@ -21,7 +21,6 @@ from tripmill.llm._common import (
     mixed,
     slices,
     span_hashes,
-    text_bytes,
     text_of,
     words,
 )
