@@ -3,7 +3,6 @@
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripmill.functions.names import column, quote_table
 from tripmill.schema import PARTITION_BY
