@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripmill.session import scratch_path
 
 # How many bytes of text a task turns into arrays at a time. One longer text is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Arrow's own pools keep what a large batch took. A worker stays for many tasks and shares its host with the JVM.
 pa.set_memory_pool(pa.system_memory_pool())

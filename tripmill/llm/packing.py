@@ -17,7 +17,7 @@ from tripmill.llm.tokens import encoder
 POOL_PIECES = 256
 PIECE_TOKENS = 256
 
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 
 
 def differenced(sizes: list[int], ways: int) -> tuple[np.ndarray, list[list[int]]]:

@@ -1,6 +1,7 @@
 """Token ids of texts by a fixed byte-level BPE vocabulary, a batch at a time."""
 
 import base64
+import json
 from array import array
 from pathlib import Path
 
@@ -11,7 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Words whose ids a worker remembers. When full, it begins anew; ids do not depend on it.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 
 #: Below this character the two libraries' tables of letters and numbers agree.
 _COMMON = "ɐ"
@@ -27,9 +28,9 @@ class Encoder:
     """
 
     def __init__(self, json_path: str, ranks_path: str | None, pattern: str):
-        self.tokenizer = Tokenizer.from_file(json_path)
-        self.special = list(self.tokenizer.get_added_tokens_decoder().values())
-        self.special = [str(t.content) for t in self.special]
+        self.json_path = json_path
+        self._tokenizer = None
+        self.special = [t["content"] for t in json.loads(Path(json_path).read_text("utf-8")).get("added_tokens", [])]
         self.fast = None
         if ranks_path is not None:
             lines = map(bytes.split, Path(ranks_path).read_bytes().splitlines())
@@ -37,6 +38,13 @@ class Encoder:
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._forget()
 
+    @property
+    def tokenizer(self) -> Tokenizer:
+        """Loaded when a text first needs it: beside the ranks it is as much memory again."""
+        if self._tokenizer is None:
+            self._tokenizer = Tokenizer.from_file(self.json_path)
+        return self._tokenizer
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])

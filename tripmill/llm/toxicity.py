@@ -68,7 +68,7 @@ _EDGES = re.compile(r"^[^\w@$!|]+|\W+$")
 _NO_LETTER = re.compile(r"[\W_]+")
 
 #: Words whose weights a worker remembers. When full, it begins anew.
-_REMEMBERED = 300_000
+_REMEMBERED = 50_000
 
 #: What a character is: other, letter, capital, digit or blank. Those beyond the first plane count as other.
 _OTHER, _LETTER, _CAPITAL, _DIGIT, _BLANK = range(5)
