@@ -1,5 +1,6 @@
 """Helpers the operators share: texts, scratch tables, and bytes of Arrow columns as numpy arrays."""
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,8 +13,13 @@ from tripmill.session import scratch_path
 # How many bytes of text a task turns into arrays at a time. One longer text is taken alone.
 SLICE_BYTES = 1 << 20
 
-# Arrow's own pools keep what a large batch took. A worker stays for many tasks and shares its host with the JVM.
+# A worker stays for many tasks and shares its host with the JVM, so what a large batch took is given back: not to
+# Arrow's own pools, and in glibc not to the heap, where large blocks go once some of their size were freed.
 pa.set_memory_pool(pa.system_memory_pool())
+_mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+if _mallopt is not None:
+    _M_MMAP_THRESHOLD = -3
+    _mallopt(_M_MMAP_THRESHOLD, 1 << 20)
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
