@@ -54,6 +54,16 @@ def test_chains_and_tiles(spark, monkeypatch, tile):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
 
 
+def test_links_count_once_where_blocks_are_empty(spark, monkeypatch):
+    """Few members of many bytes: three or four blocks for two or three rows."""
+    monkeypatch.setattr(near_dedup, "TILE_BYTES", 800)
+    rows = []
+    for k in range(8):
+        text = prose(300 + k, 70)
+        rows += [(10 * k, text), (10 * k + 1, text + " more"), (10 * k + 2, text + " other")][: 2 + k % 2]
+    assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
+
+
 def test_bands_reach_the_recall():
     for rows in (3, 5, 6):
         assert 1 - (1 - 0.8**rows) ** bands_for(0.8, 0.9999, rows) >= 0.9999

@@ -100,7 +100,8 @@ def _signer(n: int, bands: int, rows: int):
 def _verifier(n: int, similarity: float):
     """A function over the texts of a tile: for each its links there, and the smallest node it is linked to."""
 
-    def links(table: pa.Table) -> pa.Table:
+    def links(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _, i_block, j_block = (k.as_py() for k in key)
         table = table.combine_chunks()
         node, copies = table["node"].to_pylist(), table["copies"].to_numpy()
         block = table["block"].to_numpy()
@@ -135,8 +136,9 @@ def _verifier(n: int, similarity: float):
         union = size[:, None] + size[None, :] - shared
         near = shared >= similarity * union
         np.fill_diagonal(near, False)
-        mine = block[kept]
-        if m and mine.min() != mine.max():
+        # The key tells a tile of two blocks, not the rows: one of the blocks may have none.
+        if i_block != j_block:
+            mine = block[kept]
             near &= mine[:, None] != mine[None, :]
         linked = near.astype(np.int64) @ copies[kept] if m else np.zeros(0, np.int64)
         # The smallest node of each one's component here.
