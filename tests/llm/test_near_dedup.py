@@ -64,6 +64,22 @@ def test_links_count_once_where_blocks_are_empty(spark, monkeypatch):
     assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
 
 
+def test_texts_without_ids_are_fetched_once(spark, monkeypatch):
+    rows = [(i, t) for k in range(6) for t in (prose(400 + k, 70), prose(400 + k, 70) + " more") for i in (None, None)]
+    rows += [(7, prose(400 + k, 70) + " other words") for k in range(3)]
+    counts = {}
+
+    def counted(df, label):
+        out = near_dedup_materialised(df, label)
+        counts[label] = out.count()
+        return out
+
+    near_dedup_materialised = near_dedup.materialised
+    monkeypatch.setattr(near_dedup, "materialised", counted)
+    assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
+    assert counts["tied"] == counts["candidates"] == 15
+
+
 def test_bands_reach_the_recall():
     for rows in (3, 5, 6):
         assert 1 - (1 - 0.8**rows) ** bands_for(0.8, 0.9999, rows) >= 0.9999

@@ -62,7 +62,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray, n: int):
 
 
 def _signer(n: int, bands: int, rows: int):
-    """A function over Arrow batches (id, text): the digest of each text's words and its band hashes."""
+    """A function over Arrow batches (id, text, hash): the digest of each text's words and its band hashes."""
     random = np.random.default_rng(20_240_229)
     factor = random.integers(0, 1 << 32, bands * rows, np.uint64).astype(np.uint32) | np.uint32(1)
     shift = random.integers(0, 1 << 32, bands * rows, np.uint64).astype(np.uint32)
@@ -90,8 +90,13 @@ def _signer(n: int, bands: int, rows: int):
                         out[full, band] = mixed(key)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(out.reshape(-1).view(np.int64)), bands)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(digest, pa.binary()), lists.cast(pa.list_(pa.int64()))],
-                    ["id", "node", "bands"],
+                    [
+                        batch.column(0).slice(lo, hi - lo),
+                        batch.column(2).slice(lo, hi - lo),
+                        pa.array(digest, pa.binary()),
+                        lists.cast(pa.list_(pa.int64())),
+                    ],
+                    ["id", "hash", "node", "bands"],
                 )
 
     return signed
@@ -110,7 +115,7 @@ def _verifier(n: int, similarity: float):
         for i in range(len(node)):
             one = data[offsets[i] : offsets[i + 1]]
             gram, _, word, _ = _grams(one, np.array([0, len(one)]), n)
-            # An id that other texts share brings those along; they are told by their digest.
+            # A text that shares its id and hash with another is told by its digest.
             if hashlib.md5(word.tobytes()).digest() == node[i] and node[i] not in seen:
                 seen.add(node[i])
                 kept.append(i)
@@ -190,15 +195,18 @@ def near_duplicates(
     A null id is larger than any other. Rows that share an id and a text are copies. Other columns are not looked at.
     """
     bands = bands_for(similarity, recall, band_rows)
-    texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("hash", F.xxhash64("text"))
     kind = texts.schema["id"].dataType.simpleString()
     signed = materialised(
-        texts.mapInArrow(_signer(n, bands, band_rows), f"id {kind}, node binary, bands array<bigint>"), "signatures"
+        texts.mapInArrow(_signer(n, bands, band_rows), f"id {kind}, hash bigint, node binary, bands array<bigint>"), "signatures"
     )
+    # The copy that stands for all, by its id, the smallest, and its text's hash: an id, or the null, may have many other texts.
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash"))
     classes = materialised(
         signed.where("node is not null")
         .groupBy("node")
-        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")),
+        .agg(first.alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands"))
+        .select("node", F.col("first.id").alias("rep"), F.col("first.hash").alias("rep_hash"), "copies", "bands"),
         "classes",
     )
     banded = classes.select("node", F.explode("bands").alias("band"))
@@ -210,8 +218,10 @@ def near_duplicates(
     ties = shared.join(buckets, "band").where("node <> peer").select(F.col("node").alias("a"), F.col("peer").alias("b"))
     tied = components(ties).join(classes.drop("bands"), "node")
     tied = materialised(tied, "tied")
-    wanted = with_bit(texts, key_bitmaps(tied, ["rep"]), ["id"], "wanted").where("wanted").drop("wanted")
-    found = wanted.join(tied, F.col("id").eqNullSafe(F.col("rep"))).withColumn("bytes", F.octet_length("text"))
+    wanted = with_bit(texts, key_bitmaps(tied, ["rep", "rep_hash"]), ["id", "hash"], "wanted").where("wanted").drop("wanted")
+    wanted = wanted.groupBy("id", "hash").agg(F.any_value("text").alias("text"))
+    own = F.col("id").eqNullSafe(F.col("rep")) & (F.col("hash") == F.col("rep_hash"))
+    found = wanted.join(tied, own).drop("hash", "rep_hash").withColumn("bytes", F.octet_length("text"))
     group = tied.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     # Bytes are at most those of the longest text times the members: blocks are made small enough for both.
     found = materialised(found.drop("id"), "candidates")
