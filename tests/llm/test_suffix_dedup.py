@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import ODD, SCHEMA, empty, odd, prose
@@ -84,6 +86,25 @@ def test_small_pieces_parts_and_hot_anchors(spark, monkeypatch):
     assert result(repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
 
 
+def test_contexts_of_one_anchor_go_to_many_parts():
+    """A line that stands between differing texts has a different context in each: no part gets them all."""
+    texts = [prose(k, 20) + "\n" + "a line of seventy bytes or so that many different documents do share\n" + prose(5_000 + k, 20) for k in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["id", "text"])
+    [sent] = suffix_dedup._finder(100, 16)(iter([batch]))
+    per_part = [Counter(np.frombuffer(raw, "<u8").tolist()) for raw in sent["anchor"].to_pylist()]
+    [(anchor, n)] = sum(per_part, Counter()).most_common(1)
+    assert n >= 100 and max(c[anchor] for c in per_part) < n / 4
+
+
+def test_a_line_between_differing_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 5_000)
+    line = "\na line of seventy bytes or so that many different documents do share\n"
+    rows = [(k, prose(k // 2, 12) + line + prose(5_000 + k // 3, 12)) for k in range(60)]
+    for hot in (10, 4_000):
+        monkeypatch.setattr(suffix_dedup, "HOT_CONTEXTS", hot)
+        assert result(repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
+
+
 def test_merged_spans():
     random.seed(1)
     for _ in range(50):

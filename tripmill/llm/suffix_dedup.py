@@ -23,7 +23,7 @@ from tripmill.llm.burrows_wheeler import equal_prefix_classes
 #: Bytes of the anchors. A repeated string must be longer.
 GRAM = 32
 
-#: Bytes of text whose anchors are sorted together before anything is sent, and on average in a part of the anchor space.
+#: Bytes of text whose anchors are sorted together before anything is sent, and on average in a part of the contexts.
 BATCH_BYTES = 8 << 20
 PART_BYTES = 8 << 20
 
@@ -99,9 +99,9 @@ _FIELDS = [("anchor", np.uint64), ("context", np.uint64), ("doc", np.int64), ("s
 
 
 def _firsts(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Rows sorted by anchor, context, document and start; which are the first of their context, and which come after the first."""
+    """Rows sorted by context, anchor, document and start; which are the first of their context, and which come after the first."""
     anchor, context, doc, start, _ = rows
-    order = np.lexsort((start, doc, context, anchor))
+    order = np.lexsort((start, doc, anchor, context))
     rows = [x[order] for x in rows]
     anchor, context, doc, start, _ = rows
     first = np.ones(len(anchor), bool)
@@ -137,7 +137,8 @@ def _finder(length: int, parts: int):
         def full() -> pa.RecordBatch:
             rows, first, later = _firsts([np.concatenate(c) for c in zip(*held, strict=True)])
             edges = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
-            at = np.append(np.searchsorted(rows[0], edges), len(rows[0]))
+            # By context: one anchor's contexts go to all parts, however many there are.
+            at = np.append(np.searchsorted(rows[1], edges), len(rows[1]))
             if len(rows[3]) and rows[3].max() + 1000 >= 1 << 32:
                 raise ValueError("a text of over 4 GB")
             # What the batch knows to repeat itself goes to all parts evenly, merged: it is not asked about again.
@@ -176,7 +177,7 @@ def _finder(length: int, parts: int):
 
 
 def _judge(length: int):
-    """All contexts of a part: repeats of equal contexts, and one of each kind where an anchor has several kinds."""
+    """All contexts of a part: repeats of equal contexts, and one of each kind."""
 
     def judged(table: pa.Table) -> pa.Table:
         def read(name: str, kind: str) -> np.ndarray:
@@ -191,25 +192,19 @@ def _judge(length: int):
             read("count", "u1").astype(np.int64),
         ]
         (anchor, _, doc, start, count), first, later = _firsts(given)
-        # Kinds of each anchor.
-        new = np.ones(len(anchor), bool)
-        new[1:] = anchor[1:] != anchor[:-1]
-        group = np.cumsum(new) - 1
-        kinds = np.bincount(group[first])[group] if len(group) else group
-        ask = first & (kinds > 1)
         old_doc, old_start, old_end = _merged(
             np.concatenate([doc[later], read("later_doc", "<i8")]),
             np.concatenate([start[later], read("later_start", "<u4").astype(np.int64)]),
             np.concatenate([(start + count)[later] + (length - 1), read("later_end", "<u4").astype(np.int64)]),
         )
-        n_old, n_ask = len(old_doc), int(ask.sum())
+        n_old, n_kinds = len(old_doc), int(first.sum())
         return pa.table(
             {
-                "ask": np.repeat([False, True], [n_old, n_ask]),
-                "anchor": np.concatenate([np.zeros(n_old, np.int64), anchor[ask].view(np.int64)]),
-                "id": np.concatenate([old_doc, doc[ask]]),
-                "start": np.concatenate([old_start, start[ask]]),
-                "end": np.concatenate([old_end, (start + count)[ask] + (length - 1)]),
+                "kind": np.repeat([False, True], [n_old, n_kinds]),
+                "anchor": np.concatenate([np.zeros(n_old, np.int64), anchor[first].view(np.int64)]),
+                "id": np.concatenate([old_doc, doc[first]]),
+                "start": np.concatenate([old_start, start[first]]),
+                "end": np.concatenate([old_end, (start + count)[first] + (length - 1)]),
             }
         )
 
@@ -229,8 +224,8 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = [data[b:e].tobytes() for b, e in zip(begin.tolist(), stop.tolist(), strict=True)]
         ids = batch.column(0).take(pa.array(row))
         yield pa.RecordBatch.from_arrays(
-            [of.field("anchor"), ids, pa.array(start, pa.int64()), pa.array(raw, pa.binary())],
-            ["anchor", "id", "start", "bytes"],
+            [of.field("anchor"), of.field("hot"), ids, pa.array(start, pa.int64()), pa.array(raw, pa.binary())],
+            ["anchor", "hot", "id", "start", "bytes"],
         )
 
 
@@ -359,8 +354,9 @@ def repeated_passages(
     bytes that are left, as a binary, since a cut can part a character.
 
     1. Each window gets an anchor, the least of its grams, so that equal windows meet without all windows being sent: contexts, one in some forty bytes.
-    2. Parts of the anchor space sort contexts. Equal ones are repeats but for the first; a batch sends each kind once, so no part
-       grows with a passage that all documents share. An anchor with one kind of context is settled.
+    2. Parts of the space of contexts sort them. Equal ones are repeats but for the first; a batch sends each kind once, so no part
+       grows with a passage that all documents share, nor with an anchor that stands in many different contexts.
+       Kinds are then counted by anchor, partial counts first. An anchor with one kind of context is settled.
     3. Of anchors with several kinds, one context of each kind is read and goes into a Burrows-Wheeler transform with others. Breadth-first backward
        extension gives common prefixes by increasing value and stops at ``length``; suffixes that are not parted by then
        share a window. An anchor of over ``HOT_CONTEXTS`` kinds is settled window by window in place of one transform.
@@ -377,28 +373,33 @@ def repeated_passages(
     judged = materialised(
         texts.mapInArrow(_finder(length, parts), f"part int, {sent}")
         .groupBy("part")
-        .applyInArrow(_judge(length), "ask boolean, anchor bigint, id bigint, start bigint, end bigint"),
+        .applyInArrow(_judge(length), "kind boolean, anchor bigint, id bigint, start bigint, end bigint"),
         "contexts",
     )
-    asks = judged.where("ask")
+    kinds = judged.where("kind").drop("kind")
+    several = materialised(
+        kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > HOT_CONTEXTS).alias("hot")),
+        "anchors",
+    )
+    asks = materialised(kinds.join(several, "anchor"), "asks")
     wanted = asks.agg(F.sum(F.col("end") - F.col("start"))).head()[0] or 0
-    spans = judged.where("not ask").select("id", "start", "end")
+    spans = judged.where("not kind").select("id", "start", "end")
     if wanted:
-        per_text = asks.groupBy("id").agg(F.collect_list(F.struct("anchor", "start", "end")).alias("asks"))
+        per_text = asks.groupBy("id").agg(F.collect_list(F.struct("anchor", "hot", "start", "end")).alias("asks"))
         contexts = materialised(
             texts.join(per_text.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"))
             .select("id", "text", "asks")
-            .mapInArrow(_reader, "anchor bigint, id bigint, start bigint, bytes binary"),
+            .mapInArrow(_reader, "anchor bigint, hot boolean, id bigint, start bigint, bytes binary"),
             "context-bytes",
         )
-        hot = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_CONTEXTS).select("anchor")
         shards = max(1, -(-wanted // SHARD_BYTES))
         transformed = (
-            contexts.join(hot, "anchor", "left_anti")
+            contexts.where("not hot")
+            .drop("hot")
             .groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"))
             .applyInArrow(_transformer(length), "id bigint, start bigint, end bigint")
         )
-        one_by_one = _windows_one_by_one(contexts.join(hot, "anchor", "left_semi"), length)
+        one_by_one = _windows_one_by_one(contexts.where("hot"), length)
         spans = spans.union(transformed).union(one_by_one.select("id", "start", "end"))
     per_text = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = rows.join(per_text.withColumnRenamed("id", "_id"), F.col("place") == F.col("_id"), "left")
