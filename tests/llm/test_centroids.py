@@ -1,0 +1,96 @@
+import hashlib
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.llm.centroids import centroid_clusters, with_inertia
+
+SCHEMA = "vec_id long, embedding array<float>"
+NAN, INF = float("nan"), float("inf")
+
+
+def brute(rows, dimensions, k, rounds, scale=256):
+    whole = [
+        (i, [math.floor(scale * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    seed = lambda r: (hashlib.sha256(f"2:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1])
+    centroids = [v for _, v in sorted(whole, key=seed)[:k]]
+    for step in range(rounds + 1):
+        placed = []
+        for i, v in whole:
+            distance, cluster = min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(centroids))
+            placed.append((i, cluster, distance))
+        if step == rounds:
+            return placed, centroids
+        for n in range(len(centroids)):
+            mine = [v for (_, v), (_, c, _) in zip(whole, placed, strict=True) if c == n]
+            if mine:
+                centroids[n] = [sum(x) // len(mine) for x in zip(*mine, strict=True)]
+
+
+def some_vectors(n, dimensions, seed):
+    random.seed(seed)
+    return [(i, [random.choice([-2.5, -1, -0.1, 0, 0.3, 1.7]) * random.random() for _ in range(dimensions)]) for i in range(n)]
+
+
+def as_floats(spark, rows):
+    """The rows as Spark holds them: in single precision."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    return df, [tuple(r) for r in df.collect()]
+
+
+def test_against_brute_force(spark):
+    df, rows = as_floats(spark, some_vectors(300, 6, 1))
+    placed, centroids = centroid_clusters(df.repartition(5), dimensions=6, k=9, rounds=4)
+    want, want_centroids = brute(rows, 6, 9, 4)
+    assert centroids == want_centroids
+    got = with_inertia(placed, centroids).collect()
+    assert sorted((r.vec_id, r.cluster, r.distance) for r in got) == sorted(want)
+    for r in got:
+        assert r.cluster_inertia == sum(d for _, c, d in want if c == r.cluster)
+        assert r.inertia == sum(d for _, _, d in want)
+        assert r.centroid_sha256 == hashlib.sha256(",".join(map(str, want_centroids[r.cluster])).encode()).hexdigest()
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, [0.1, -0.1]), (1, [0.1, -0.1]), (2, [0.1, -0.1]), (3, [5.0, 5.0]), (4, [1.0]), (5, [1.0, None]), (6, [NAN, 1.0]),
+        (7, [INF, 1.0]), (8, [-INF, 1.0]), (9, None), (10, []), (None, [-3.0, 2.0]), (None, [-3.0, 2.0]), (11, [1.0, 2.0, 3.0]),
+    ]
+    df, rows = as_floats(spark, rows)
+    for name in ("id", "vector", "cluster", "distance", "inertia", "n", "total"):
+        df = df.withColumn(name, F.lit("clash"))
+    placed, centroids = centroid_clusters(df, dimensions=2, k=3, rounds=3)
+    want, want_centroids = brute(rows, 2, 3, 3)
+    got = with_inertia(placed, centroids)
+    assert got.columns == ["cluster", "vec_id", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    assert centroids == want_centroids
+    assert sorted((str(r.vec_id), r.cluster, r.distance) for r in got.collect()) == sorted((str(i), c, d) for i, c, d in want)
+
+
+def test_fewer_vectors_than_centroids_and_equal_ones(spark):
+    df, rows = as_floats(spark, [(i, [0.5, 0.5]) for i in range(7)])
+    placed, centroids = centroid_clusters(df, dimensions=2, k=40)
+    assert len(centroids) == 7
+    assert {(r.cluster, r.distance) for r in placed.collect()} == {(0, 0)}
+
+
+def test_empty_table(spark):
+    placed, centroids = centroid_clusters(spark.createDataFrame([], SCHEMA))
+    got = with_inertia(placed, centroids)
+    assert centroids == [] and got.collect() == []
+    assert dict(got.dtypes)["cluster_inertia"] == "bigint"
+
+
+def test_what_no_distance_can_hold_is_refused_by_name(spark):
+    edge = 2.0**27 / 256
+    df, rows = as_floats(spark, [(1, [edge, -edge]), (2, [-edge, edge])])
+    placed, _ = centroid_clusters(df, dimensions=2, k=1, rounds=1)
+    assert {r.distance for r in placed.collect()} == {2 * 2**54}
+    for far in (2 * edge, 3e38):
+        with pytest.raises(Exception, match="beyond 134217728 / 256, in the vector 5"):
+            centroid_clusters(spark.createDataFrame([(5, [far, 0.0])], SCHEMA), dimensions=2)

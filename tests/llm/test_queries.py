@@ -18,7 +18,7 @@ from tripmill.llm.queries import QUERIES
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "labels", "pages", "conversations"):
+    for name in ("documents", "benchmark", "labels", "pages", "conversations", "embeddings"):
         connection.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return connection
 
@@ -27,9 +27,9 @@ def rows_of(duck, sql):
     return duck.sql(sql).fetchall()
 
 
-def test_all_ten_are_registered():
-    assert [n.split("_")[0] for n in QUERIES if n.startswith("op")].__len__() == 10
-    assert {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+def test_all_are_registered():
+    assert [n.split("_")[0] for n in QUERIES if n.startswith("op")].__len__() == 13
+    assert {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert QUERIES.keys() | {"pipeline"} <= entry_points.queries().keys()
 
 

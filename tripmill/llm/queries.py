@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import chat
 from tripmill.llm._common import crc_bucket
+from tripmill.llm.centroids import centroid_clusters, with_inertia
 from tripmill.llm.decontaminate import contamination
 from tripmill.llm.exact_dedup import exact_dedup
 from tripmill.llm.lm_scoring import lm_scores
@@ -219,3 +220,52 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def _kmeans_sql(rounds: int = 5, k: int = 40) -> str:
+    """The rounds one after the other, over (vector, dimension) rows."""
+    steps = [
+        f"""
+    v as materialized (
+        select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as w,
+            row_number() over () as r
+        from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), x as materialized (
+        select r, unnest(range(1, 65)) as d, unnest(w) as c from v
+    ), c0 as materialized (
+        select n, unnest(range(1, 65)) as d, unnest(w) as m
+        from (select w, row_number() over (order by sha256('2:' || vec_id), w) - 1 as n from v qualify n < {k})
+    )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""
+    a{i} as materialized (
+        select r, arg_min(n, (t, n)) as n, min(t) as t
+        from (select r, n, cast(sum((x.c - m) * (x.c - m)) as bigint) as t from x join c{i} using (d) group by r, n)
+        group by r
+    )""")
+        if i < rounds:
+            steps.append(f"""
+    c{i + 1} as materialized (
+        select c{i}.n, c{i}.d, coalesce(f, m) as m
+        from c{i} left join (
+            select n, d, cast((sum(x.c) - ((sum(x.c) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as f
+            from a{i} join x using (r) group by n, d
+        ) s on s.n = c{i}.n and s.d = c{i}.d
+    )""")
+    return (
+        "with"
+        + ",".join(steps)
+        + f"""
+    select vec_id, cast(a.n as integer) as cluster, t as distance, cast(sum(t) over (partition by a.n) as bigint) as cluster_inertia,
+        cast(sum(t) over () as bigint) as inertia, h as centroid_sha256
+    from a{rounds} a join v using (r)
+        join (select n, sha256(string_agg(m, ',' order by d)) as h from c{rounds} group by n) h on h.n = a.n
+    """
+    )
+
+
+@_query("op13_centroid_clustering", _kmeans_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, centroids = centroid_clusters(_table(spark, sf_dir, "embeddings"))
+    return with_inertia(placed, centroids)
