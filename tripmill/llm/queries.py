@@ -15,6 +15,7 @@ from tripmill.llm.centroids import centroid_clusters, with_inertia
 from tripmill.llm.decontaminate import contamination
 from tripmill.llm.exact_dedup import exact_dedup
 from tripmill.llm.lm_scoring import lm_scores
+from tripmill.llm.mixing import mix, taken_of_documents
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.packing import pack
 from tripmill.llm.sharding import shard_documents
@@ -222,6 +223,52 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query(
+    "op12_mixing",
+    r"""
+    with docs as (
+        select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+            md5(concat_ws(':', '0', coalesce(cast(doc_id as varchar), ''), md5(coalesce(text, '')))) as h
+        from documents
+    ), s as (
+        select source, cast(sum(size) as bigint) as n, row_number() over (order by source nulls last) - 1 as rank from docs group by source
+    ), w as (
+        select *, rank % 3 + 1 as weight, sum(n) over () as total from s
+    ), l as (
+        -- With the sources of the lowest caps for their weights held at them, what is left for a weight of 1.
+        select *, (cast(total as double) - coalesce(sum(3 * n) over below, 0)) / (sum(weight) over upward) as level
+        from w window below as (order by 3 * n / weight, rank rows between unbounded preceding and 1 preceding),
+            upward as (order by 3 * n / weight, rank rows between current row and unbounded following)
+    ), t as (
+        select source, rank, n, least(cast(3 * n as double),
+            weight * (select max(level) from l where level * weight <= 3 * n)) as target
+        from w
+    ), q as (
+        select d.*, t.rank, t.n, t.target, cast(round(t.target) as bigint) as last,
+            cast(sum(size) over o as bigint) - size as earlier, row_number() over o as place
+        from docs d join t on t.source is not distinct from d.source window o as (partition by d.source order by h rows unbounded preceding)
+    ), c as (
+        select *, copy * n + earlier as begin from q, range(3) r(copy) where copy = 0 or copy * n + earlier < last
+    ), p as (
+        select *, unnest(case when begin < last and last < begin + size
+            then [{'words': last - begin, 'upto': last}, {'words': size - (last - begin), 'upto': begin + size}]
+            else [{'words': size, 'upto': begin + size}] end, recursive := true) from c
+    ), f as (
+        select *, sum(words) over (order by case when target > 0 then upto / target when words > 0 then 'inf'::double else 0 end,
+            rank, copy, place, upto rows unbounded preceding) as sofar
+        from p
+    ), g as (
+        select source, place, sum(greatest(0, least(words, (select round(sum(target)) from t) - (sofar - words)))) as taken
+        from f group by source, place
+    )
+    select doc_id, size, n as source_size, target, cast(taken as bigint) as taken
+    from q join g on g.source is not distinct from q.source and g.place = q.place
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_of_documents(mix(_table(spark, sf_dir, "documents"))).drop("source", "place")
+
+
 def _kmeans_sql(rounds: int = 5, k: int = 40) -> str:
     """The rounds one after the other, over (vector, dimension) rows."""
     steps = [
