@@ -1,0 +1,178 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.llm.centroid_rollup import _settle_small, centroid_rollup, settle
+from tripmill.llm.prefix_trie import branched, ordered_turns, prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def head_of(c):
+    return zlib.crc32(str(c).encode()) % 6
+
+
+def base_of(c):
+    return c - (c % 100 if c >= 0 else -(-c % 100))
+
+
+def said(role, text):
+    return hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+
+
+def brute(rows, anew=True):
+    """Nodes by walking every conversation, and totals by walking up from every node."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            own.setdefault(c, []).append(((turn is not None, turn or 0, said(role, text)), (role, text)))
+    own = {c: [t for _, t in sorted(turns)] for c, turns in own.items()}
+    new = {c: own.get(base_of(c), [])[: head_of(c)] + t[head_of(c) :] for c, t in own.items()} if anew else own
+    members, ends = {}, {}
+    for c, turns in new.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+        ends.setdefault(tuple(turns), []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children[node[:-1]] = children.get(node[:-1], 0) + 1
+    leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for node, m in members.items():
+        worth = (len(m) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += worth
+    return sorted(
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else None, len(m), children.get(node, 0), leaves[node], saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ends.get(node, [])))).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    )
+
+
+def nodes_of(df, **limits):
+    turns = ordered_turns(df)
+    head = F.crc32(F.col("conv_id").cast("string")) % 6
+    trie = prefix_trie(*branched(turns, head, F.col("conv_id") - F.col("conv_id") % 100, 5), **limits)
+    names = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return sorted(tuple(r) for r in trie.select(*names).collect())
+
+
+def some_conversations():
+    """A chain that holds a third of all turns and branches late, a first turn that most share, copies, and near copies."""
+    random.seed(7)
+    rows = [(200, k, "user", f"step {k}") for k in range(120)] + [(201, k, "user", f"step {k}") for k in range(90)]
+    rows += [(201, 90, "user", "elsewhere")]
+    for c in (*range(100, 160), 3, 7, 55):
+        rows += [(c, 0, "user", "hello")] + [(c, k, random.choice(["user", "assistant"]), random.choice("ab")) for k in range(1, 1 + c % 7)]
+    rows += [(c, k, "user", f"same {k}") for c in range(300, 320) for k in range(6)]
+    rows += [(c, 0, "user", "ü\U0001f600" * c) for c in range(-120, -100)]
+    return rows
+
+
+def test_against_brute_force(spark):
+    rows = some_conversations()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert nodes_of(df) == brute(rows)
+
+
+def test_components_that_no_task_takes_whole(spark):
+    rows = some_conversations()
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert nodes_of(df, local_nodes=30, larger_components=10_000) == brute(rows)
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, None, None, None), (1, 0, "user", None), (1, 0, "user", ""), (1, 0, "", "user"), (1, 2, "u", "x" * 50_000),
+        (None, 0, "user", "nobody's"), (2, 5, "user", "a"), (2, 5, "user", "a"), (2, 5, None, "b"), (0, None, "user", "z"), (101, 1, "user", "only"),
+        (102, 1, "us", "eronly"), (102, 1, "us", "eronly"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("part", "place", "said", "n", "depth", "key", "parent", "line", "size", "top", "head", "base", "at", "chars"):
+        df = df.withColumn(name, F.lit("clash"))
+    assert nodes_of(df) == brute(rows)
+
+
+def test_no_conversations(spark):
+    assert nodes_of(spark.createDataFrame([], SCHEMA)) == []
+    assert nodes_of(spark.createDataFrame([(None, 1, "user", "a")], SCHEMA)) == []
+
+
+def trees(n, shape, seed):
+    """Parents of a forest, parents first: a chain, a star, a caterpillar or a random one with a few tops."""
+    rng = np.random.default_rng(seed)
+    if shape == "chain":
+        return np.arange(n) - 1
+    if shape == "star":
+        return np.where(np.arange(n) > 0, 0, -1)
+    if shape == "caterpillar":
+        return np.array([-1 if i == 0 else i - 2 if i % 2 == 0 else i - 1 for i in range(n)])
+    return np.array([-1 if i < 3 else rng.integers(0, i) for i in range(n)])
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "caterpillar", "random"])
+def test_settling_within_a_task(shape):
+    parent = trees(500, shape, 3)
+    rng = np.random.default_rng(5)
+    own, weight = rng.integers(-9, 99, (2, 500)), rng.integers(1, 50, 500)
+    want, size = own.copy(), weight.copy()
+    depth = np.zeros(500, int)
+    for i in range(499, -1, -1):
+        if parent[i] >= 0:
+            want[:, parent[i]] += want[:, i]
+            size[parent[i]] += size[i]
+    for i in range(500):
+        depth[i] = depth[parent[i]] + 1 if parent[i] >= 0 else 0
+    order = np.lexsort((depth, [_root(parent, i) for i in range(500)]))
+    place = np.argsort(order)
+    moved = np.where(parent[order] >= 0, place[parent[order]], -1)
+    assert (settle(moved, size[order], own[:, order]) == want[:, order]).all()
+
+
+def _root(parent, i):
+    while parent[i] >= 0:
+        i = parent[i]
+    return i
+
+
+@pytest.mark.parametrize("at_a_time", [1, 2, 5, 1000])
+def test_components_that_lie_across_batches(at_a_time):
+    rows = []
+    for c, n in enumerate([1, 4, 1, 7, 2, 9]):
+        rows += [{"key": f"{c}-{k}", "parent": f"{c}-{k - 1}" if k else "0-0", "top": f"{c}-0", "depth": k, "size": n - k, "own_v": 1, "more_v": 10} for k in range(n)]
+    for width in (1, 2, 3, 50):
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + width]) for i in range(0, len(rows), width)]
+        got = {k: v for b in _settle_small(["v"], at_a_time)(iter(batches)) for k, v in zip(*[c.to_pylist() for c in b.columns], strict=True)}
+        assert got == {r["key"]: r["size"] + 10 for r in rows}
+
+
+def test_rollup_of_several_trees(spark):
+    """Lines and places of one's own: a forest of two trees, split by jobs down to single nodes."""
+    parent = trees(120, "random", 9)
+    weight = np.ones(120, int)
+    for i in range(119, -1, -1):
+        if parent[i] >= 0:
+            weight[parent[i]] += weight[i]
+    paths = [[i] for i in range(120)]
+    for i in range(120):
+        if parent[i] >= 0:
+            paths[i] = [*paths[parent[i]], i]
+    key = lambda i: None if i < 0 else f"n{i}"
+    nodes = [(key(i), key(parent[i]), key(_root(parent, i)), i, len(paths[i]) - 1, int(weight[i]), 1, i) for i in range(120)]
+    places = [(i, d, key(x), key(parent[x])) for i in range(120) for d, x in enumerate(paths[i])]
+    got = centroid_rollup(
+        spark.createDataFrame(nodes, "key string, parent string, top string, line long, depth long, weight long, n long, v long"),
+        spark.createDataFrame([(i, d, k, p) for i, d, k, p in places], "line long, depth long, key string, parent string"),
+        ["n", "v"], local_nodes=8, larger_components=1000,
+    )
+    below = [[j for j in range(120) if i in paths[j]] for i in range(120)]
+    assert {(r.key, r.n, r.v) for r in got.collect()} == {(key(i), len(b), sum(b)) for i, b in enumerate(below)}

@@ -18,6 +18,7 @@ from tripmill.llm.lm_scoring import lm_scores
 from tripmill.llm.mixing import mix, taken_of_documents
 from tripmill.llm.near_dedup import near_duplicates
 from tripmill.llm.packing import pack
+from tripmill.llm.prefix_trie import branched, ordered_turns, prefix_trie
 from tripmill.llm.sharding import shard_documents
 from tripmill.llm.suffix_dedup import repeated_passages
 from tripmill.llm.toxicity import fit_toxicity, held_out
@@ -223,6 +224,50 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query(
+    "op11_conversation_trie",
+    r"""
+    with bits as (
+        select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as of_byte
+    ), o as (
+        select conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} order by turn nulls first) as p
+        from conversations where conv_id is not null group by conv_id
+    ), h as (
+        select conv_id, p, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ord(x) as bigint))),
+            lambda c, b: xor(of_byte[(xor(c, b) & 255) + 1], c >> 8))) % 6 as h
+        from o, bits
+    ), r as (
+        select h.conv_id, list_concat(coalesce(o.p[1 : h], []), h.p[h + 1 :]) as p
+        from h left join o on o.conv_id = h.conv_id - h.conv_id % 100
+    ), m as (
+        select conv_id, p, unnest(range(len(p) + 1)) as depth from r
+    ), n as (
+        select p[1 : depth] as k, depth, min(conv_id) as conv_id, count(*) as n_convs,
+            sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (len(p) = depth), '')) as ends_sha256
+        from m group by all
+    ), c as (
+        select k[1 : depth - 1] as k, count(*) as n_children from n where depth > 0 group by all
+    ), v as (
+        select n.*, coalesce(n_children, 0) as n_children, coalesce((n_convs - 1) * length(n.k[depth].t), 0) as saved
+        from n left join c using (k)
+    ), s as (
+        select k[1 : up] as k, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+        from (select *, unnest(range(depth + 1)) as up from v) group by all
+    )
+    select v.conv_id, v.depth, u.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves,
+        cast(saved_tokens as bigint) as saved_tokens, v.ends_sha256
+    from v join s using (k) left join n u on u.depth = v.depth - 1 and u.k = v.k[1 : v.depth - 1]
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = ordered_turns(_table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 6
+    anew, conversations = branched(turns, head, F.col("conv_id") - F.col("conv_id") % 100, 5)
+    return prefix_trie(anew, conversations).drop("key", "parent")
+
+
 @_query(
     "op12_mixing",
     r"""
