@@ -21,3 +21,15 @@ def test_dump_process_and_sql(spark, table_name, tmp_path, capsys):
     main([*common, "process", root, "--mode", "replace", "--dates", "2021-03-04"])
     assert "rows=1" in capsys.readouterr().out
     assert (tmp_path / "documents" / "index=taxi-2021-03-04").is_dir()
+
+
+def test_changes_and_recovery(spark, table_name, tmp_path, capsys):
+    csv, root = tmp_path / "in.csv", str(tmp_path / "documents")
+    csv.write_text("\n".join([HEADER, *GOOD]) + "\n")
+    main(["--table", table_name, "dump", str(csv), "--all-or-none", "--rows-per-task", "1"])
+    assert "('2021-03-04',): 1" in capsys.readouterr().out
+    for rows in (2, 0):
+        main(["--table", table_name, "process", root, "--changed"])
+        assert f"rows={rows}" in capsys.readouterr().out
+    main(["--table", table_name, "recover", "--force"])
+    assert "nothing to take back" in capsys.readouterr().out

@@ -29,6 +29,8 @@ def main(arguments: list[str] | None = None) -> None:
     dump.add_argument("csv", nargs="+")
     dump.add_argument("--rejects", help="write rows with bad cells here")
     dump.add_argument("--check-header", action="store_true")
+    dump.add_argument("--all-or-none", action="store_true", help="replace all days together, or none if the load fails")
+    dump.add_argument("--rows-per-task", type=int, help="cut up what a file that does not split holds for a day")
 
     process = commands.add_parser("process", help="the table into per-day documents")
     process.add_argument("root")
@@ -40,6 +42,11 @@ def main(arguments: list[str] | None = None) -> None:
     process.add_argument("--until", help="only up to this day")
     process.add_argument("--null-index", help="index for rows the template has a null for; they fail the job otherwise")
 
+    process.add_argument("--changed", action="store_true", help="only days loaded since the last such run")
+
+    recover = commands.add_parser("recover", help="take back a load --all-or-none whose driver was lost")
+    recover.add_argument("--force", action="store_true", help="also that of another application, which must be gone")
+
     sql = commands.add_parser("sql", help="show the result of a SQL text")
     sql.add_argument("text")
     sql.add_argument("--rows", type=int, default=100, help="show at most this many")
@@ -60,6 +67,11 @@ def main(arguments: list[str] | None = None) -> None:
         else:
             result.write.format(args.format).option("header", True).save(args.to)
         return
+    if args.command == "recover":
+        if args.location is not None and not spark.catalog.tableExists(quote_table(args.table)):
+            table.attach(spark, args.table, args.location)
+        print("taken back" if table.recover(spark, args.table, force=args.force) else "nothing to take back")
+        return
     common = {"location": args.location, "zone": args.zone}
     if args.command == "dump":
         result = jobs.dump(
@@ -69,6 +81,8 @@ def main(arguments: list[str] | None = None) -> None:
             rejects_path=args.rejects,
             check_header=args.check_header,
             cluster=args.cluster is not False,
+            all_or_none=args.all_or_none,
+            rows_per_task=args.rows_per_task,
             **common,
         )
     else:
@@ -84,6 +98,7 @@ def main(arguments: list[str] | None = None) -> None:
             dates=args.dates,
             since=args.since,
             until=args.until,
+            changed=args.changed,
             **common,
         )
     print(result)

@@ -6,6 +6,7 @@ pickup, the drop-off lies ``value`` minutes later, and the remaining columns fol
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tripmill.functions.trips import enrich, with_date
-from tripmill.operators import documents, table
+from tripmill.operators import documents, ledger, table
 from tripmill.operators.align import align
 from tripmill.operators.documents import document_schema
 from tripmill.plans import jobs
@@ -390,6 +391,105 @@ def table_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@register(
+    _TRIPS + "select trip_id, vendor_id as \"Location\", total_amount as \"Provider\", cast(null as integer) as surcharge, date from t"
+)
+def table_location_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with columns named like properties of tables, entered again from where it lies."""
+    trips = _dated(spark, sf_dir).withColumnsRenamed({"vendor_id": "Location", "total_amount": "Provider"})
+    name, location = _new_table(spark)
+    table.write(trips, name, location=location)
+    table.write(trips.where("Provider < 0").withColumn("surcharge", F.lit(1)), name)
+    spark.sql(f"drop table {name}")
+    table.attach(spark, name, location)
+    return spark.table(name)
+
+
+def _doubled(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("total_amount", F.col("total_amount") * 2)
+
+
+@register(
+    _TRIPS + "select trip_id, vendor_id, case when weekend then total_amount * 2 else total_amount end "
+    "as total_amount, date from t"
+)
+def table_all_or_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days replaced together, beside others that stay, in a table that is then entered again."""
+    trips = _dated(spark, sf_dir)
+    name, location = _new_table(spark)
+    table.write(trips, name, location=location)
+    table.write(_doubled(_weekends(trips)), name, all_or_none=True)
+    spark.sql(f"drop table {name}")
+    table.attach(spark, name, location)
+    return spark.table(name)
+
+
+@register(
+    _TRIPS + "select trip_id, vendor_id, case when weekend then total_amount * 4 else total_amount * 2 end "
+    "as total_amount, date from t"
+)
+def table_loads_of_both_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days replaced together, then day by day, then together again."""
+    trips = _dated(spark, sf_dir)
+    name, location = _new_table(spark)
+    doubled = _doubled(trips)
+    table.write(trips, name, location=location, all_or_none=True)
+    table.write(doubled, name)
+    table.write(_doubled(_weekends(doubled)), name, all_or_none=True)
+    return spark.table(name)
+
+
+@register(
+    _TRIPS + "select trip_id, vendor_id, total_amount, case when weekend then 1 else 2 end as load_no, "
+    "case when weekend then 1 end as weekend_load, case when not weekend then 2 end as other_load, date from t"
+)
+def table_concurrent_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads at once that both add a column, and each one of its own."""
+    trips = _dated(spark, sf_dir)
+    name, location = _new_table(spark)
+    table.write(trips.where("total_amount < 0"), name, location=location)
+    weekends = _weekends(trips)
+    others = trips.join(weekends.select("date").distinct(), "date", "left_anti").select(trips.columns)
+    loads = [
+        weekends.withColumn("load_no", F.lit(1)).withColumn("weekend_load", F.lit(1)),
+        others.withColumn("load_no", F.lit(2)).withColumn("other_load", F.lit(2)),
+    ]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda load: table.write(load, name), loads))
+    return spark.table(name).select("trip_id", "vendor_id", "total_amount", "load_no", "weekend_load", "other_load", "date")
+
+
+@register(
+    "select l_returnflag, strftime(l_shipdate, '%Y-%m') as ship_month, count(*) as n from lineitem group by all"
+)
+def table_rows_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the result of a load says of its partitions, counted by the pass that wrote them."""
+    use_zone(spark)
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_returnflag", F.date_format("l_shipdate", "yyyy-MM").alias("ship_month")
+    )
+    name, location = _new_table(spark)
+    written = table.write(items, name, ["l_returnflag", "ship_month"], location=location)
+    # A row for each partition of the load.
+    rows = [(*key, n) for key, n in written.partitions.items()]
+    return spark.createDataFrame(rows, "l_returnflag string, ship_month string, n bigint")
+
+
+@register(
+    _TRIPS + "select date, count(*) as n, count(*) filter (weekend) as n_weekend from t group by date"
+)
+def table_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger of a table says of its loads: one of all days, then one of some."""
+    trips = _dated(spark, sf_dir)
+    name, location = _new_table(spark)
+    for frame, together in [(trips, False), (trips.where("total_amount < 0"), False), (_weekends(trips), True)]:
+        table.write(frame, name, location=location, all_or_none=together)
+    # A row for each day of a load.
+    first, second = ledger.loads(spark, table.location_of(spark, name)).values()
+    rows = [(day, n, second.get((day,), 0)) for (day,), n in first.items()]
+    return spark.createDataFrame(rows, "date string, n bigint, n_weekend bigint")
+
+
 @register(
     _TRIPS + "select total_amount, cast(null as integer) as rate_code, trip_id, cast(null as varchar) as note from t"
 )
@@ -563,3 +663,78 @@ def job_process_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.process(spark, root, name, since="2024-01-10", until="2024-01-12")
     schema = document_schema(enrich(spark.table(name)).schema, ["date"])
     return read_documents(spark, root, schema).select("vendor_id", "total_amount", "index")
+
+
+def _as_one_gzip(df: DataFrame) -> str:
+    path = scratch_path(df.sparkSession, "csv")
+    whole = df.coalesce(1).write.option("header", True).option("compression", "gzip")
+    whole.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    return path
+
+
+@register(
+    _TRIPS + "select vendor_id, epoch_us(pickup_datetime) as pickup_us, total_amount, payment_type, date from t"
+)
+def job_dump_one_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file that does not split; what it holds for a day is dealt out a hundred rows at a time."""
+    name, location = _new_table(spark)
+    csv = _as_one_gzip(derive_trips(spark, sf_dir).drop("trip_id"))
+    jobs.dump(spark, csv, name, location=location, rows_per_task=100)
+    pickup = F.unix_micros("pickup_datetime").alias("pickup_us")
+    return spark.table(name).select("vendor_id", pickup, "total_amount", "payment_type", "date")
+
+
+@register(
+    _TRIPS + "select date, 'total_amount' as bad_cells, count(*) as n from t "
+    "where vendor_id = 'error' and trip_id % 16 = 3 group by date"
+)
+def job_dump_few_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen files, one of them with bad cells: only that one is read for the report."""
+    trips = derive_trips(spark, sf_dir)
+    bad = (F.col("vendor_id") == "error") & (F.col("trip_id") % 16 == 3)
+    total = F.when(bad, F.lit("n/a")).otherwise(F.col("total_amount").cast("string"))
+    csv, report = scratch_path(spark, "csv"), scratch_path(spark, "rejects")
+    parts = trips.withColumn("total_amount", total).withColumn("part", F.col("trip_id") % 16).drop("trip_id")
+    for part in range(16):
+        mine = parts.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").option("header", True)
+        mine.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(csv)
+    name, location = _new_table(spark)
+    jobs.dump(spark, csv, name, location=location, rejects_path=report)
+    found = spark.read.schema("pickup_datetime string, bad_cells array<string>").json(report)
+    day = F.substring("pickup_datetime", 1, 10).alias("date")
+    rows = found.select(day, F.array_join("bad_cells", ",").alias("bad_cells"))
+    return rows.groupBy("date", "bad_cells").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    _TRIPS + """select vendor_id, case when weekend then total_amount * 2 else total_amount end as total_amount,
+    'taxi-' || date as "index" from t"""
+)
+def job_process_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days are dumped and processed, then some are dumped anew, and only those processed again."""
+    trips = derive_trips(spark, sf_dir).drop("trip_id")
+    name, location = _new_table(spark)
+    root = scratch_path(spark, "documents")
+    weekends = _doubled(_weekends(with_date(trips)).drop("date"))
+    for load in (trips, weekends):
+        jobs.dump(spark, _as_csv(load), name, location=location)
+        jobs.process(spark, root, name, changed=True)
+    schema = document_schema(enrich(spark.table(name)).schema, ["date"])
+    return read_documents(spark, root, schema).select("vendor_id", "total_amount", "index")
+
+
+@register(
+    _TRIPS + "select 'taxi-' || date as \"index\", count(*) as n from t where weekend group by date"
+)
+def job_process_only_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run over the changes reads: the first load counts as seen, so only documents of days of the second are made."""
+    trips = derive_trips(spark, sf_dir).drop("trip_id")
+    name, location = _new_table(spark)
+    root = scratch_path(spark, "documents")
+    jobs.dump(spark, _as_csv(trips), name, location=location, all_or_none=True)
+    marks = ledger.as_seen(ledger.loads(spark, table.location_of(spark, name)))
+    ledger.keep_seen(spark, root, table.location_of(spark, name), marks)
+    jobs.dump(spark, _as_csv(_weekends(with_date(trips)).drop("date")), name, location=location, all_or_none=True)
+    jobs.process(spark, root, name, changed=True)
+    schema = document_schema(enrich(spark.table(name)).schema, ["date"])
+    return read_documents(spark, root, schema).groupBy("index").agg(F.count(F.lit(1)).alias("n"))

@@ -37,6 +37,8 @@ WRITE_DEFAULTS = {
 
 ZONE = "spark.sql.session.timeZone"
 
+_NAME = "tripmill.session"
+
 _lock = threading.Lock()
 # By session and key: how many hold it, the caller's value, the held value.
 _held: dict[tuple[str, str], list] = {}
@@ -44,8 +46,12 @@ _local_root: list[str] = []
 
 
 def _session(spark: SparkSession) -> str:
-    """The same for all Python objects of one JVM session, to which the settings belong."""
-    return spark._jsparkSession.sessionUUID()
+    """The same for all objects of one session, to which the settings belong: a name kept among the session's own settings."""
+    name = spark.conf.get(_NAME, None)
+    if name is None:
+        name = uuid.uuid4().hex
+        spark.conf.set(_NAME, name)
+    return name
 
 
 def use_zone(spark: SparkSession, zone: str | None = None) -> str:
@@ -77,7 +83,8 @@ def held_settings(
     other than the one that is held is an error.
     """
     entered = []
-    session = _session(spark)
+    with _lock:
+        session = _session(spark)
     try:
         with _lock:
             chosen = _with_defaults(spark, settings, defaults)

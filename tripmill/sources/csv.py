@@ -22,6 +22,13 @@ from tripmill.schema import TRIP
 BAD_CELLS = "bad_cells"
 RAW = "raw"
 LINE = "line"
+FILE = "file"
+
+# Endings of compressed files that a single task reads from the first byte to the last.
+WHOLE_FILES = (".gz", ".zst", ".snappy", ".lz4", ".deflate")
+
+# Bits in a note of files, as many as Spark's bitmaps have: 4 KB, however many files there are.
+_BITS = 32768
 
 # The only words that the CSV reader takes for numbers that are not finite.
 _WORDS = r"^(-?Inf|\s*[+-]?(Infinity|NaN)\s*)$"
@@ -54,21 +61,29 @@ def read_checked_csv(
     schema: StructType = TRIP,
     *,
     check_header: bool = False,
+    files: bytes | None = None,
 ) -> DataFrame:
-    """Read like ``read_csv`` and add ``bad_cells`` (names of the bad columns) and ``raw`` (the texts).
+    """Read like ``read_csv`` and add ``bad_cells`` (names of the bad columns), ``raw`` (the texts) and ``file`` (its path).
 
     All cells are read as text and cast here, so a bad cell is found no matter which columns a query
     goes on to use. A row with more or fewer cells than the schema is reported under ``line``, and ``raw``
     then keeps its whole line, all surplus cells with it. Whole numbers must be written in ASCII digits.
+
+    With ``files``, a note made by ``files_of_rejects``, only files that are in it are opened: all that were noted, and
+    of very many others a few.
     """
     # Spark's text of malformed records tells rows by their number of cells, as nothing else can be wrong
     # with text. It depends on which columns are read, so all are: every reject is asked about all of them.
     texts = StructType([StructField(n, StringType()) for n in [*schema.names, LINE]])
     reader = spark.read.schema(texts).option("header", True).option("enforceSchema", not check_header)
     cells = reader.option("columnNameOfCorruptRecord", LINE).option("columnPruning", False).csv(path)
+    if files is not None:
+        # On the scan itself, where Spark asks a filter on nothing but the file before it opens it.
+        cells = cells.where(_noted(F.col("_metadata.file_path"), files))
     typed = cells.select(
         *[_cell(column(f.name), f.dataType).alias(f.name) for f in schema],
         F.struct(*[column(n) for n in [*schema.names, LINE]]).alias(RAW),
+        F.col("_metadata.file_path").alias(FILE),
     )
     bad = {
         f.name: F.col(RAW)[f.name].isNotNull() & column(f.name).isNull()
@@ -81,12 +96,12 @@ def read_checked_csv(
     names = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in bad.items()]))
     # Most rows are good: ask that first, and only then put the names together.
     bad_cells = F.when(reduce(or_, bad.values()), names).otherwise(F.array().cast("array<string>"))
-    return typed.select(*[column(n) for n in schema.names], bad_cells.alias(BAD_CELLS), RAW)
+    return typed.select(*[column(n) for n in schema.names], bad_cells.alias(BAD_CELLS), RAW, FILE)
 
 
 def rows_of(checked: DataFrame) -> DataFrame:
     """The typed rows of a checked read, bad cells as nulls: the same rows ``read_csv`` gives."""
-    return checked.drop(BAD_CELLS, RAW)
+    return checked.drop(BAD_CELLS, RAW, FILE)
 
 
 def rejects_of(checked: DataFrame) -> DataFrame:
@@ -101,6 +116,21 @@ def is_reject() -> Column:
     return F.size(BAD_CELLS) > 0
 
 
+def files_of_rejects() -> Column:
+    """An aggregate of a checked read: a note, of fixed size, of the files that have rejects. A row counted twice does not matter."""
+    return F.bitmap_construct_agg(F.when(is_reject(), _bit(F.col(FILE))))
+
+
+def _bit(path: Column) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(_BITS))
+
+
+def _noted(path: Column, files: bytes) -> Column:
+    # Position p is bit p % 8 of byte p / 8.
+    byte = F.conv(F.hex(F.substring(F.lit(files), F.floor(_bit(path) / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("int"), (_bit(path) % 8).cast("int")) == 1
+
+
 def _cell(text: Column, data_type: DataType) -> Column:
     value = text.try_cast(data_type)
     if isinstance(data_type, (IntegerType, LongType)):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tripmill.files import folders
 from tripmill.operators.documents import INDEX
 
 
@@ -20,15 +21,10 @@ def read_documents(spark: SparkSession, root: str, schema: StructType, pattern:
     if pattern == "*":
         return reader.json(root)
     inside = f"{root.rstrip('/')}/{INDEX}={pattern}"
-    if re.fullmatch(r"[A-Za-z0-9._*-]+", pattern) and _any(spark, inside):
+    if re.fullmatch(r"[A-Za-z0-9._*-]+", pattern) and folders(spark, inside):
         df = reader.option("basePath", root).json(inside)
     else:
         df = reader.json(root)
     escaped = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
     return df.where(F.col(INDEX).like(escaped.replace("*", "%")))
 
-
-def _any(spark: SparkSession, pattern: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
