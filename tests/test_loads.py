@@ -9,15 +9,18 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tests.test_csv import CELLS
 from tests.test_jobs import BAD, GOOD, HEADER, documents_of
 from tests.test_table import BASE, content, files, frame
 from tripmill import files as places
 from tripmill.operators import ledger, staged, table
 from tripmill.plans import jobs
 from tripmill.session import held_settings
-from tripmill.sources.csv import files_of_rejects, read_checked_csv, rejects_of
+from tripmill.sources.csv import FAULTY, files_of, is_reject, read_checked_csv, read_csv, read_noted_csv, rejects_of
 from tripmill.sources.tables import read_table
 
 RELOAD = [(7, "new", "2024-01-02"), (8, "new", "2024-01-03"), (9, "new", None)]
@@ -343,8 +346,11 @@ def test_only_files_with_rejects_are_read_again(spark, table_name, tmp_path, mon
     for k in range(12):
         lines = [*GOOD, BAD] if k in (3, 7) else GOOD
         (folder / f"part {k} [x]%20{k}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
-    checked = read_checked_csv(spark, str(folder))
-    note = bytes(checked.agg(files_of_rejects()).first()[0])
+    checked, noted = read_checked_csv(spark, str(folder)), read_noted_csv(spark, str(folder))
+    note = bytes(checked.agg(files_of(is_reject())).first()[0])
+    seen = Observation()
+    noted.observe(seen, files_of(F.col(FAULTY)).alias("files")).write.format("noop").mode("overwrite").save()
+    assert bytes(seen.get["files"]) == note
     again = read_checked_csv(spark, str(folder), files=note)
     assert rejects_of(again).count() == 2
     # Two files of a few bytes, read by no more than two tasks.
@@ -354,6 +360,19 @@ def test_only_files_with_rejects_are_read_again(spark, table_name, tmp_path, mon
     assert spark.read.json(str(tmp_path / "r")).count() == 2
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "timestamp", "string"])
+def test_the_plain_read_finds_fault_where_the_checked_one_does(spark, tmp_path, kind):
+    cells = [*CELLS, "\uff11\uff12", "-\u0663\u0664", "1\u096b", "+\u06f5", "\U0001d7ce", "\u0663" * 12, "\u0663" * 30, "\u00b2", "1\u00a0", "\u0663.5"]
+    path = tmp_path / "cells.csv"
+    path.write_text("id,c\n" + "".join(f'{i},"{cell}"\n' for i, cell in enumerate(cells)) + f"{len(cells)}\n{len(cells) + 1},1,2\n")
+    schema = StructType.fromDDL(f"id int, c {kind}")
+    noted = {(r.id, r.c): r.faulty for r in read_noted_csv(spark, str(path), schema).select("id", F.col("c").cast("string"), FAULTY).collect()}
+    checked = {(r.id, r.c): r.bad for r in read_checked_csv(spark, str(path), schema).select("id", F.col("c").cast("string"), is_reject().alias("bad")).collect()}
+    assert noted == checked
+    plain = read_csv(spark, str(path), schema).select("id", F.col("c").cast("string")).collect()
+    assert {tuple(r) for r in plain} == set(noted)
+
+
 # --- only what has changed ------------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from tripmill.operators.layout import ROWS_PER_TASK
 from tripmill.operators.table import WriteResult
 from tripmill.schema import INDEX_EXCLUDES, INDEX_TEMPLATE, TRIP, TRIP_TABLE
 from tripmill.session import held_zone
-from tripmill.sources.csv import RAW, WHOLE_FILES, files_of_rejects, is_reject, read_checked_csv, read_csv, rejects_of, rows_of
+from tripmill.sources.csv import FAULTY, FILE, WHOLE_FILES, files_of, read_checked_csv, read_csv, read_noted_csv, rejects_of
 from tripmill.sources.tables import read_table
 
 
@@ -43,7 +43,7 @@ def dump(
 
     With ``rejects_path`` the rows with bad cells are also written there as JSON, as they stood in the
     file, in place of an earlier report. They stay in the table with nulls in place of those cells. The pass that loads the table
-    notes which files have bad cells, and only those are read a second time for the report.
+    is a plain read that notes which files have bad cells, and only those are read a second time, as text, for the report.
     The table is written first; if the report then fails, the table stays as loaded and the run fails.
 
     Where the input has files that do not split, what one of them holds for a day is dealt out to tasks by
@@ -57,17 +57,17 @@ def dump(
             rows = read_csv(spark, csv_path, schema, check_header=check_header)
             how["rows_per_task"] = rows_per_task or _rows_per_task(rows)
             return DumpResult(table.write(with_date(rows), table_name, **how))
-        checked = read_checked_csv(spark, csv_path, schema, check_header=check_header)
-        how["rows_per_task"] = rows_per_task or _rows_per_task(checked)
+        noted = read_noted_csv(spark, csv_path, schema, check_header=check_header)
+        how["rows_per_task"] = rows_per_task or _rows_per_task(noted)
         seen = Observation()
         # Only asked whether it is zero, and for which files: below the shuffle a task that runs again may count twice.
-        rejects = F.count_if(is_reject()).alias("rejects")
-        observed = checked.drop(RAW).observe(seen, rejects, files_of_rejects().alias("files"))
-        written = table.write(with_date(rows_of(observed)), table_name, **how)
+        faulty = F.col(FAULTY)
+        observed = noted.observe(seen, F.count_if(faulty).alias("faulty"), files_of(faulty).alias("files")).drop(FAULTY, FILE)
+        written = table.write(with_date(observed), table_name, **how)
         # Where there are no rows, Spark may have left out the part of the plan that was observed.
-        if not written.rows or not seen.get["rejects"]:
+        if not written.rows or not seen.get["faulty"]:
             # What an earlier load left there is not this one's report.
-            rejects_of(checked).limit(0).write.mode("overwrite").json(rejects_path)
+            rejects_of(read_checked_csv(spark, csv_path, schema)).limit(0).write.mode("overwrite").json(rejects_path)
             return DumpResult(written, 0)
         kept = Observation()
         again = read_checked_csv(spark, csv_path, schema, check_header=check_header, files=bytes(seen.get["files"]))

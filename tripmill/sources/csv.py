@@ -1,5 +1,6 @@
 """Headered CSV with a declared schema; bad cells become nulls, and can be reported."""
 
+import unicodedata
 from functools import reduce
 from operator import or_
 
@@ -23,6 +24,7 @@ BAD_CELLS = "bad_cells"
 RAW = "raw"
 LINE = "line"
 FILE = "file"
+FAULTY = "faulty"
 
 # Endings of compressed files that a single task reads from the first byte to the last.
 WHOLE_FILES = (".gz", ".zst", ".snappy", ".lz4", ".deflate")
@@ -34,6 +36,10 @@ _BITS = 32768
 _WORDS = r"^(-?Inf|\s*[+-]?(Infinity|NaN)\s*)$"
 _WHOLE = r"^[+-]?[0-9]+$"
 
+# The digits of all scripts, which the CSV reader takes in whole numbers and a cast does not, and what they stand for.
+_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.decimal(c, None) is not None)
+_AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
 
 def read_csv(
     spark: SparkSession,
@@ -55,6 +61,32 @@ def read_csv(
     return reader.option("timeZone", zone).csv(path)
 
 
+def read_noted_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType = TRIP,
+    *,
+    check_header: bool = False,
+) -> DataFrame:
+    """Read like ``read_csv`` and add ``faulty`` (whether the reader found fault with the row) and ``file``.
+
+    It costs little more than a plain read, and tells which files to put to ``read_checked_csv`` for the cells. Use it where all
+    columns are used: the reader finds fault with the number of cells, and with those that it is asked for.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    with_line = StructType([*schema, StructField(LINE, StringType())])
+    reader = spark.read.schema(with_line).option("header", True).option("enforceSchema", not check_header)
+    reader = reader.option("columnNameOfCorruptRecord", LINE).option("columnPruning", False)
+    rows = reader.option("timeZone", zone).csv(path)
+    faulty = F.col(LINE).isNotNull() & _read(column(schema.names[0]))
+    return rows.select(*[column(n) for n in schema.names], faulty.alias(FAULTY), F.col("_metadata.file_path").alias(FILE))
+
+
+def _read(value: Column) -> Column:
+    """True; the column is asked for, since Spark does not read the text of malformed records alone."""
+    return F.length(F.coalesce(value.cast("string"), F.lit(""))) >= 0
+
+
 def read_checked_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -63,13 +95,13 @@ def read_checked_csv(
     check_header: bool = False,
     files: bytes | None = None,
 ) -> DataFrame:
-    """Read like ``read_csv`` and add ``bad_cells`` (names of the bad columns), ``raw`` (the texts) and ``file`` (its path).
+    """Read like ``read_csv`` and add ``bad_cells`` (names of the bad columns), ``raw`` (the texts) and ``file``.
 
     All cells are read as text and cast here, so a bad cell is found no matter which columns a query
     goes on to use. A row with more or fewer cells than the schema is reported under ``line``, and ``raw``
-    then keeps its whole line, all surplus cells with it. Whole numbers must be written in ASCII digits.
+    then keeps its whole line, all surplus cells with it.
 
-    With ``files``, a note made by ``files_of_rejects``, only files that are in it are opened: all that were noted, and
+    With ``files``, a note made by ``files_of``, only files that are in it are opened: all that were noted, and
     of very many others a few.
     """
     # Spark's text of malformed records tells rows by their number of cells, as nothing else can be wrong
@@ -90,9 +122,7 @@ def read_checked_csv(
         for f in schema
         if not isinstance(f.dataType, StringType)
     }
-    # The first column is asked as well, since Spark does not read the text of malformed records alone.
-    first = F.coalesce(F.col(RAW)[schema.names[0]], F.lit(""))
-    bad[LINE] = F.col(RAW)[LINE].isNotNull() & (F.length(first) >= 0)
+    bad[LINE] = F.col(RAW)[LINE].isNotNull() & _read(F.col(RAW)[schema.names[0]])
     names = F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in bad.items()]))
     # Most rows are good: ask that first, and only then put the names together.
     bad_cells = F.when(reduce(or_, bad.values()), names).otherwise(F.array().cast("array<string>"))
@@ -116,9 +146,9 @@ def is_reject() -> Column:
     return F.size(BAD_CELLS) > 0
 
 
-def files_of_rejects() -> Column:
-    """An aggregate of a checked read: a note, of fixed size, of the files that have rejects. A row counted twice does not matter."""
-    return F.bitmap_construct_agg(F.when(is_reject(), _bit(F.col(FILE))))
+def files_of(flag: Column) -> Column:
+    """An aggregate of a read with ``file``: a note, of fixed size, of the files that have such rows. A row counted twice does not matter."""
+    return F.bitmap_construct_agg(F.when(flag, _bit(F.col(FILE))))
 
 
 def _bit(path: Column) -> Column:
@@ -134,8 +164,9 @@ def _noted(path: Column, files: bytes) -> Column:
 def _cell(text: Column, data_type: DataType) -> Column:
     value = text.try_cast(data_type)
     if isinstance(data_type, (IntegerType, LongType)):
-        # A cast trims blanks, the reader of typed CSV does not.
-        return F.when(text.rlike(_WHOLE), value)
+        # A cast trims blanks, the reader of typed CSV does not; and that knows all digits.
+        other = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, _DIGITS, _AS_ASCII))
+        return F.when(text.rlike(_WHOLE), value).when(other.rlike(_WHOLE), other.try_cast(data_type))
     if isinstance(data_type, DoubleType):
         finite = F.abs(value) < F.lit(float("inf"))
         return F.when(finite | text.rlike(_WORDS) | text.rlike("[0-9]"), value)
