@@ -49,6 +49,16 @@ def test_toxicity(session, stages):
     assert kept <= {r.doc_id for r in stages[0].collect()}
 
 
+def test_toxic_documents_go(session):
+    """On more documents: with eleven toxic labels, as above, no word can be told from chance."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (session.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(session, docs, folder).select("doc_id").collect()}
+    toxic = {bool(t): {r.doc_id for r in labels.where(labels.toxic == t).collect()} for t in (0, 1)}
+    assert len(toxic[True] - kept) >= 0.55 * len(toxic[True])
+    assert len(toxic[False] - kept) <= 0.01 * len(toxic[False])
+
+
 def test_exact_dedup(stages):
     assert sorted(i for i, _ in pairs(stages[2])) == sorted(i for i, _, _, kept, _ in copies(pairs(stages[1])) if kept)
 
@@ -86,3 +96,11 @@ def test_exact_copies_go_even_where_ids_are_shared(spark):
     rows = [(1, prose(1, 50)), (2, prose(1, 50)), (3, prose(3, 50))]
     got = corpus_pipeline.drop_copies(spark, spark.createDataFrame(rows, SCHEMA), SF_DIR)
     assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies])
+def test_no_copy_stays_where_ids_are_missing_or_shared(spark, stage):
+    t, u, v = (prose(k, 50) for k in (1, 2, 3))
+    rows = [(1, t), (None, t), (None, u), (None, u), (None, v), (7, t), (7, v), (8, u), (9, prose(4, 50)), (9, prose(4, 50)), (9, t)]
+    got = stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(4), SF_DIR)
+    assert sorted(map(str, pairs(got))) == sorted(map(str, [(1, t), (8, u), (7, v), (9, prose(4, 50))]))

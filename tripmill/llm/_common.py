@@ -21,6 +21,26 @@ if _mallopt is not None:
     _M_MMAP_THRESHOLD = -3
     _mallopt(_M_MMAP_THRESHOLD, 1 << 20)
 
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+_kept: dict = {}
+
+
+def give_back() -> None:
+    """Let the host have the memory that was freed: the worker stays, and shares the host with the JVM."""
+    if _malloc_trim is not None:
+        _malloc_trim(0)
+
+
+def kept(key, build):
+    """What a worker keeps from task to task, one thing at a time: what the operator before kept goes when the next one begins."""
+    if key not in _kept:
+        _kept.clear()
+        give_back()
+        _kept[key] = build()
+    return _kept[key]
+
+
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}

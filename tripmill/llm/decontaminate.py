@@ -2,14 +2,15 @@
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tripmill.llm._common import byte_class, lower_ascii, slices, span_hashes, text_bytes, text_of, words
+from tripmill.llm._common import byte_class, kept, lower_ascii, materialised, slices, span_hashes, text_bytes, text_of, words
 from tripmill.llm.fm_index import FMIndex
 
 #: Bytes of benchmark text that are sent to all tasks at once. A larger benchmark is taken in blocks of this size.
@@ -21,9 +22,6 @@ MEMBER = byte_class(besides=_BETWEEN)
 
 _RESULT = "n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
-_built: dict[str, tuple] = {}
-
-
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[str, str]]]:
     """The items in blocks; no more than one block and one fetched partition are on the driver."""
     block, size = [], 0
@@ -73,9 +71,12 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _finder(block: list[tuple[str, str]], window: int):
     token = uuid.uuid4().hex
 
+    def build() -> tuple:
+        return _phrases(block, window)
+
     def shard(data: np.ndarray, offsets: np.ndarray) -> tuple:
         """Of the rows of one shard: words, hit words, spans (row, start, end), pairs (row, item)."""
-        names, vocabulary, phrases, lengths, item_at, items = _built[token]
+        names, vocabulary, phrases, lengths, item_at, items = kept(token, build)
         n_rows = len(offsets) - 1
         n_words = np.zeros(n_rows, np.int64)
         parts = []
@@ -126,10 +127,7 @@ def _finder(block: list[tuple[str, str]], window: int):
         return n_words, n_hit, (row[first], start[first], end[final]), (pairs // n_items, pairs % n_items)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _built:
-            _built.clear()
-            _built[token] = _phrases(block, window)
-        names = pa.array(_built[token][0], pa.string())
+        names = pa.array(kept(token, build)[0], pa.string())
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             n_words, n_hit, (row, start, end), (doc, item) = shard(data, offsets)
@@ -179,31 +177,30 @@ def contamination(
 
     Documents stay where they are: nothing is shuffled. A task takes the rows of an Arrow batch as a shard and indexes what can hold a
     window: runs of words that all are benchmark words. All windows are searched at once. The benchmark goes to the tasks in
-    blocks of ``BLOCK_BYTES`` of text; with more than one, each block passes over the documents once, and a document's results are then brought
-    together, one row for each block.
+    blocks of ``BLOCK_BYTES`` of text; with more than one, each block passes over the documents once, and a row's results are then brought
+    together by a number that the row was given, so that ids do not matter.
 
     A null text has no words. An item without id is not looked for; of items that share an id, any counts. Null and repeated document ids
-    are rows like any other, but with more than one block rows that share an id must be copies. Without items nothing is hit. Other columns are not looked at.
+    are rows like any other. Without items nothing is hit. Other columns are not looked at.
     """
     texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     schema = StructType([texts.schema["id"], *StructType.fromDDL(_RESULT)])
-    passes = [texts.mapInArrow(_finder(b, window), schema) for b in _blocks(benchmark, item_col, item_text_col)]
-    if not passes:
-        passes = [texts.mapInArrow(_finder([], window), schema)]
-    if len(passes) == 1:
-        result = passes[0]
+    blocks = list(_blocks(benchmark, item_col, item_text_col)) or [[]]
+    if len(blocks) == 1:
+        result = texts.mapInArrow(_finder(blocks[0], window), schema)
     else:
-        result = _together(texts, passes)
+        result = _together(texts, blocks, window, schema)
     return result.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", "spans")
 
 
-def _together(texts: DataFrame, passes: list[DataFrame]) -> DataFrame:
+def _together(texts: DataFrame, blocks: list, window: int, schema: StructType) -> DataFrame:
     """Results of several blocks: spans and items merged, hit words counted again inside the merged spans."""
-    rows = passes[0]
-    for more in passes[1:]:
-        rows = rows.unionByName(more)
+    texts = materialised(texts.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+    by_row = StructType([StructField("id", LongType()), *StructType.fromDDL(_RESULT)])
+    passes = [texts.select("row", "text").mapInArrow(_finder(b, window), by_row) for b in blocks]
     merged = (
-        rows.groupBy("id")
+        reduce(DataFrame.unionByName, passes)
+        .groupBy(F.col("id").alias("row"))
         .agg(
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("spans")).alias("all_spans"),
@@ -212,7 +209,7 @@ def _together(texts: DataFrame, passes: list[DataFrame]) -> DataFrame:
         .withColumn("spans", F.expr(_MERGE))
         .drop("all_spans")
     )
-    out = texts.join(merged.withColumnRenamed("id", "_id"), F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
+    out = texts.join(merged, "row").drop("row")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,4 +222,4 @@ def _together(texts: DataFrame, passes: list[DataFrame]) -> DataFrame:
             out = table.append_column("n_hit", pa.array(counts, pa.int64()))
             yield from out.select(["id", "n_words", "n_hit", "spans", "items"]).combine_chunks().to_batches()
 
-    return out.mapInArrow(counted, passes[0].schema)
+    return out.mapInArrow(counted, schema)

@@ -185,7 +185,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents
     ), b as (
         select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null
     ), windows as (
         select distinct item_id, least(10, len(w)) as n, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') as t
         from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k from b where len(w) > 0)

@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
+from tripmill.llm._common import kept
+
 #: Words whose ids a worker remembers. When full, it begins anew; ids do not depend on it.
 REMEMBERED = 120_000
 
@@ -112,12 +114,7 @@ class Encoder:
         return flat[index], total[at]
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encoder(json_path: str, ranks_path: str | None, pattern: str) -> Encoder:
-    """One encoder per worker process."""
-    key = (json_path, ranks_path, pattern)
-    if key not in _encoders:
-        _encoders[key] = Encoder(*key)
-    return _encoders[key]
+    """One encoder per worker process, until another operator keeps something there."""
+    key = ("encoder", json_path, ranks_path, pattern)
+    return kept(key, lambda: Encoder(*key[1:]))

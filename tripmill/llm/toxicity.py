@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm._common import crc_bucket, key_bitmaps, materialised, text_of, with_bit
+from tripmill.llm._common import crc_bucket, give_back, kept, key_bitmaps, materialised, slices, text_bytes, text_of, with_bit
 
 #: Labelled rows the model is fitted on, at most. A larger set is sampled by the hash of its ids.
 FIT_ROWS = 20_000
@@ -119,6 +119,10 @@ def terms(text: str) -> set[str]:
     return found | {w[:n] + "*" for w in found for n in STEMS if len(w) > n}
 
 
+#: Bytes of text whose terms a task counts at a time.
+_TERM_BYTES = 4 << 20
+
+
 class Lexicon:
     """How sure words and beginnings of words are to be toxic."""
 
@@ -201,24 +205,30 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
 def learn_lexicon(labelled: DataFrame) -> Lexicon:
     """Words and word beginnings that tell toxic texts, from rows (text, label): counted in Spark by number of texts."""
 
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        toxic: dict[str, int] = {}
+        clean: dict[str, int] = {}
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            counts = toxic if label else clean
+            for term in terms(text):
+                counts[term] = counts.get(term, 0) + 1
+        # A term that no toxic text of the slice has still counts as clean where another slice has it.
+        keys = list(toxic.keys() | clean.keys())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(keys, pa.string()),
+                pa.array([toxic.get(k, 0) for k in keys], pa.int64()),
+                pa.array([clean.get(k, 0) for k in keys], pa.int64()),
+            ],
+            ["term", "toxic", "clean"],
+        )
+
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic: dict[str, int] = {}
-            clean: dict[str, int] = {}
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = toxic if label else clean
-                for term in terms(text):
-                    counts[term] = counts.get(term, 0) + 1
-            # A term that no toxic text of the batch has still counts as clean where another batch has it.
-            keys = list(toxic.keys() | clean.keys())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.string()),
-                    pa.array([toxic.get(k, 0) for k in keys], pa.int64()),
-                    pa.array([clean.get(k, 0) for k in keys], pa.int64()),
-                ],
-                ["term", "toxic", "clean"],
-            )
+            _, offsets = text_bytes(batch.column(0))
+            for first, last in slices(offsets, _TERM_BYTES):
+                yield counted(batch.slice(first, last - first))
+        give_back()
 
     counts = labelled.select("text", "label").mapInArrow(exploded, "term string, toxic bigint, clean bigint")
     share = (F.col("toxic") / (F.col("toxic") + F.col("clean") + 1)).alias("share")
@@ -237,9 +247,15 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
 def with_features(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     """Add ``features``, an array of doubles, to rows that have ``text``."""
 
-    @F.pandas_udf("array<double>")
-    def dense(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(text, lexicon) for text in texts])
+    @F.arrow_udf("array<double>")
+    def dense(texts: pa.Array) -> pa.Array:
+        kept("toxicity", lambda: None)
+        _, offsets = text_bytes(texts)
+        kind = pa.list_(pa.float64())
+        parts = [pa.array([], kind)]
+        for first, last in slices(offsets):
+            parts.append(pa.array([features(text, lexicon) for text in texts[first:last].to_pylist()], kind))
+        return pa.concat_arrays(parts)
 
     return df.withColumn("features", dense("text"))
 
@@ -256,14 +272,13 @@ class ToxicityModel:
 
     def score(self, df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``id_col, score, predicted`` of every row, by its whole text alone. An empty or null text is scored like any other."""
-        rows = df.select(F.col(id_col).alias(id_col), text_of(text_col).alias("text"))
+        # The id has a name of its own until the end, as it may be called like a column that is made here.
+        rows = df.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text"))
         if self.trees is None:
-            return rows.select(id_col, F.lit(self.prior).alias("score"), F.lit(int(self.prior >= 0.5)).alias("predicted"))
-        scored = self._raw(with_features(rows, self.lexicon))
-        score = self._calibration(F.col("raw"))
-        return scored.select(id_col, score.alias("score")).select(
-            id_col, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
-        )
+            scored = rows.select("_id", F.lit(self.prior).alias("score"))
+        else:
+            scored = self._raw(with_features(rows, self.lexicon)).select("_id", self._calibration(F.col("raw")).alias("score"))
+        return scored.select(F.col("_id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
     def _raw(self, df: DataFrame) -> DataFrame:
         vectors = df.withColumn("vector", array_to_vector("features")).drop("features", "text")
@@ -295,7 +310,8 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from the labelled rows for which ``usable`` (a condition on the id column) holds.
 
-    At most about ``fit_rows`` labelled rows are used: of more, those whose hashed id falls below the share that is wanted. A quarter of
+    The lexicon is counted in Spark over three eighths of all labelled rows, however many there are. The trees and the calibration use at
+    most about ``fit_rows``: of more, those whose hashed id falls below the share that is wanted. A quarter of
     them is held back for isotonic calibration, where the trees, fitted on the rest, are compared with the labels.
 
     Rows without text, id or label teach nothing. An id labelled twice is toxic if any of its labels says so. With labels of one kind only, or none,
@@ -306,15 +322,16 @@ def fit_toxicity(
         known = labels.where(usable).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     total = known.count()
-    if total > fit_rows:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / total))
+    share = 1_000_000 if total <= fit_rows else int(1_000_000 * fit_rows / total)
+    known = known.withColumn("sampled", F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("id is not null and text is not null")
     # A bitmap of fixed size keeps the texts that no label is wanted of out of the join's shuffle.
     texts = with_bit(texts, key_bitmaps(known, ["id"]), ["id"], "wanted").where("wanted").drop("wanted")
     rows = materialised(known.join(texts, "id"), "labelled")
     back = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(4)) == 0
-    sums = rows.agg(F.count(F.lit(1)), F.sum("label"), F.count_if(back), F.sum(F.when(back, F.col("label")))).head()
+    sampled = rows.where("sampled")
+    sums = sampled.agg(F.count(F.lit(1)), F.sum("label"), F.count_if(back), F.sum(F.when(back, F.col("label")))).head()
     n, toxic, n_back, toxic_back = (x or 0 for x in sums)
     prior = toxic / n if n else 0.0
     if toxic in (0, n) or toxic - toxic_back in (0, n - n_back):
@@ -322,7 +339,7 @@ def fit_toxicity(
     # The lexicon is learned on the part the trees are fitted on, but for half of it: on the texts it came from it would look surer than it is.
     half = F.pmod(F.xxhash64(F.lit("lexicon"), "id"), F.lit(2)) == 0
     lexicon = learn_lexicon(rows.where(~back & half))
-    dense = materialised(with_features(rows, lexicon).select("id", "label", "features", back.alias("back")), "features")
+    dense = materialised(with_features(sampled, lexicon).select("id", "label", "features", back.alias("back")), "features")
     fit = dense.where("not back").select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector"))
     trees = GBTClassifier(
         featuresCol="vector",
