@@ -1,13 +1,13 @@
 """The corpus pipeline: toxic texts go, then copies, near copies and texts of benchmarks; what stays is packed.
 
-Each stage takes (spark, docs, sf_dir) and reads all of ``docs``. All but the last return rows of ``documents``, as they came. Rows that share an
-id are one document: they stay or go together. Rows with a null id are judged by their texts like any other, together where a stage joins on ids.
-Null texts are empty. Empty tables give empty tables.
+Each stage takes (spark, docs, sf_dir) and reads all of ``docs``. All but the last return rows of ``documents``, as they came. A row is known by its
+id and its text, so rows that share an id, or have none, are judged one by one; of rows alike in both, which are copies, one stays at most after
+the second stage. A null id is larger than any other. Null texts are empty. Empty tables give empty tables.
 """
 
 from types import SimpleNamespace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm.decontaminate import contamination
@@ -18,10 +18,24 @@ from tripmill.llm.toxicity import fit_toxicity, held_out
 from tripmill.session import scratch_path
 
 
-def _only(docs: DataFrame, judged: DataFrame, stays) -> DataFrame:
-    """The rows of ``docs`` whose id was judged to stay."""
-    ids = judged.where(stays).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+def _key() -> Column:
+    """What a row is known by. Nulls come last, as the smallest one of a group stays."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(text).alias("hash"))
+
+
+def _only(docs: DataFrame, judge, label: str) -> DataFrame:
+    """The rows of ``docs`` that stay when ``judge`` has judged them by their keys; of rows that share a key, one."""
+    judged = judge(docs.select(_key().alias("key"), "text"), id_col="key").select("key", "kept")
+    path = scratch_path(docs.sparkSession, label)
+    judged.groupBy("key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).write.parquet(path)
+    keys = docs.sparkSession.read.parquet(path).where("kept").withColumnRenamed("key", "_key")
+    several = keys.where("n > 1").drop("kept", "n")
+    once = docs.join(keys.where("n = 1"), _key() == F.col("_key"), "left_semi")
+    if several.isEmpty():
+        return once
+    shared = docs.withColumn("_row_key", _key()).join(several, F.col("_row_key") == F.col("_key"), "left_semi")
+    return once.unionByName(shared.dropDuplicates(["_row_key"]).drop("_row_key"))
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
@@ -42,12 +56,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for blanks, the one with the smallest id."""
-    return _only(docs, exact_dedup(docs), F.col("kept"))
+    return _only(docs, exact_dedup, "judged-copies")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts linked by similarity, directly or by others, the one with the smallest id."""
-    return _only(docs, near_duplicates(docs), F.col("kept"))
+    return _only(docs, near_duplicates, "judged-near-copies")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
