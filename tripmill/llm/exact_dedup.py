@@ -3,11 +3,14 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm._common import key_bitmaps, text_of, with_bit
+from tripmill.llm._common import key_bitmaps, materialised, text_of, with_bit
 
 #: Characters of the beginning that the second step hashes. What is equal is decided by the whole text.
 PREFIX_CHARS = 256
 
+#: So many of the largest groups are broadcast to their rows. No other group has more than this part of all rows.
+LARGEST = 1000
+
 
 def normalised(text: Column) -> Column:
     """The text with each run of spaces, tabs and line ends as one space."""
@@ -20,8 +23,8 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     Rows whose normalised texts are equal form a group; the smallest id stays. Length and a hash of the
     beginning are grouped first. Groups of one need no more. The keys of the others set bits in a
     bitmap of fixed size, and only rows whose bit is set have their whole text hashed. As more groups survive
-    than there are bits, more rows are hashed than need be; the result is the same. Only lengths and hashes
-    are shuffled. ``text_sha256`` is null where no whole hash was needed, unless ``digest_all``.
+    than there are bits, more rows are hashed than need be; the result is the same. Ids and hashes are written down, and
+    only lengths and hashes are shuffled. ``text_sha256`` is null where no whole hash was needed, unless ``digest_all``.
 
     A null text is an empty one; empty texts are copies of each other. A null id is larger than any other, so
     its row stays only if all ids of the group are null. Rows that share id and text are one document: they
@@ -36,20 +39,23 @@ def exact_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     )
     several = key.groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bitmaps = key_bitmaps(several, ["length", "prefix"])
-    hashed = with_bit(key, bitmaps, ["length", "prefix"], "survives").select(
-        "id",
-        "prefix",
-        "survives",
-        (F.sha2("t", 256) if digest_all else F.when(F.col("survives"), F.sha2("t", 256))).alias("sha"),
-    )
+    whole = F.sha2("t", 256) if digest_all else F.when(F.col("survives"), F.sha2("t", 256))
+    hashed = with_bit(key, bitmaps, ["length", "prefix"], "survives").select("id", "prefix", "survives", whole.alias("sha"))
+    hashed = materialised(hashed, "hashed")
     groups = (
-        hashed.where("survives").groupBy("sha").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        hashed.where("survives")
+        .groupBy(F.col("sha").alias("group_sha"))
+        .agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .where("group_size > 1")
     )
-    groups = groups.where("group_size > 1").withColumnRenamed("sha", "group_sha")
-    # A group of a third of all rows makes one large partition of narrow rows, which adaptive execution splits.
+    groups = materialised(groups, "copies")
+    # The rows of the largest groups do not meet at their key: what is known of the group comes to them.
+    largest = groups.orderBy(F.desc("group_size"), "group_sha").limit(LARGEST)
+    in_largest = hashed.join(F.broadcast(largest), F.col("sha") == F.col("group_sha"))
+    others = hashed.join(F.broadcast(largest.select(F.col("group_sha").alias("sha"))), "sha", "left_anti")
     # Rows without a hash get keys of their own, or all of them would meet at the null key.
     own = F.coalesce("sha", F.col("prefix").cast("string"))
-    joined = hashed.join(groups, own == F.col("group_sha"), "left")
+    joined = in_largest.unionByName(others.join(groups, own == F.col("group_sha"), "left"))
     alone = F.col("group_sha").isNull()
     return joined.select(
         F.col("id").alias(id_col),
