@@ -323,21 +323,24 @@ def fit_toxicity(
     known = known.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     total = known.count()
     share = 1_000_000 if total <= fit_rows else int(1_000_000 * fit_rows / total)
+    back = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(4)) == 0
+    # The lexicon is learned on the part the trees are fitted on, but for half of it: on the texts it came from it would look surer than it is.
+    half = F.pmod(F.xxhash64(F.lit("lexicon"), "id"), F.lit(2)) == 0
     known = known.withColumn("sampled", F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
+    # Texts that neither the lexicon nor the sample takes stay where they are.
+    known = known.where(F.col("sampled") | (~back & half))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("id is not null and text is not null")
     # A bitmap of fixed size keeps the texts that no label is wanted of out of the join's shuffle.
     texts = with_bit(texts, key_bitmaps(known, ["id"]), ["id"], "wanted").where("wanted").drop("wanted")
-    rows = materialised(known.join(texts, "id"), "labelled")
-    back = F.pmod(F.xxhash64(F.lit("calibration"), "id"), F.lit(4)) == 0
+    # Merged at any size: how many labels there are has no bound that a broadcast could rest on.
+    rows = materialised(known.hint("merge").join(texts, "id"), "labelled")
     sampled = rows.where("sampled")
     sums = sampled.agg(F.count(F.lit(1)), F.sum("label"), F.count_if(back), F.sum(F.when(back, F.col("label")))).head()
     n, toxic, n_back, toxic_back = (x or 0 for x in sums)
     prior = toxic / n if n else 0.0
     if toxic in (0, n) or toxic - toxic_back in (0, n - n_back):
         return ToxicityModel(Lexicon({}), None, [], [], prior)
-    # The lexicon is learned on the part the trees are fitted on, but for half of it: on the texts it came from it would look surer than it is.
-    half = F.pmod(F.xxhash64(F.lit("lexicon"), "id"), F.lit(2)) == 0
     lexicon = learn_lexicon(rows.where(~back & half))
     dense = materialised(with_features(sampled, lexicon).select("id", "label", "features", back.alias("back")), "features")
     fit = dense.where("not back").select(F.col("label").cast("double").alias("label"), array_to_vector("features").alias("vector"))
