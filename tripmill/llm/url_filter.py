@@ -1,5 +1,6 @@
 """URL filter: token combinations mined by FP-growth from labels, matched by an inverted index, under a list of given rules."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -7,17 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tripmill.llm._common import materialised
+from tripmill.llm._common import key_bitmaps, materialised, tasks_for, with_bit
 
 #: The item that stands for a bad label.
 BAD = "label=bad"
 
-#: Shares of labelled pages that a combination must be in, and of those with it that must be bad.
+#: A combination must be in this share of the labelled pages, as a bad one, and in so many bad pages at least: a handful proves nothing.
 MIN_SUPPORT = 0.002
+MIN_PAGES = 10
+
+#: Of the labelled pages that a combination is in, this share must be bad.
 MIN_CONFIDENCE = 0.6
 
-#: Tokens of a combination, at most.
-MAX_TOKENS = 4
+#: Rows of one key are spread over so many tasks where they meet what was found for it.
+SALTS = 8
+
+#: The file type at the end of a path.
+_TYPE = r"\.(\w+)$"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,31 +41,29 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column) -> Column:
-    """The different tokens of a URL: scheme, host and the domains above it, host labels, path segments, file type, names of parameters, fragment.
+    """The different tokens of a URL, one for each fact: scheme, host labels by their place from the right, path segments, file type, names of parameters, fragment.
 
-    Segments that are numbers are one token. A null or empty URL has none.
+    ``host1=com`` and ``host2=b`` together stand for the domain ``b.com``. No token follows from another, so combinations that are mined do not
+    say the same thing twice. Segments that are numbers are one token, and the file type is not part of its segment. A null or empty URL has none.
     """
     text = F.coalesce(url, F.lit(""))
     host, path = host_of(url), path_of(url)
-    labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels), F.lit(1))),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    labels = F.transform(
+        F.reverse(F.filter(F.split(host, r"\."), lambda x: x != "")),
+        lambda x, i: F.concat(F.lit("host"), (i + 1).cast("string"), F.lit("="), x),
     )
-    segments = F.filter(F.split(path, "/"), lambda x: x != "")
-    named = F.transform(segments, lambda s: F.when(s.rlike(r"^[0-9]+([.]\w+)?$"), F.lit("#")).otherwise(F.lower(s)))
+    segments = F.filter(F.split(F.regexp_replace(path, _TYPE, ""), "/"), lambda x: x != "")
+    named = F.transform(segments, lambda s: F.when(s.rlike(r"^[0-9]+$"), F.lit("#")).otherwise(F.lower(s)))
     query = F.regexp_extract(text, r"\?([^#]*)", 1)
     names = F.filter(F.transform(F.split(query, "&"), lambda p: F.regexp_extract(p, r"^[^=]*", 0)), lambda x: x != "")
     kinds = [
         ("scheme", F.filter(F.array(F.lower(F.regexp_extract(text, r"^(\w+)://", 1))), lambda x: x != "")),
-        ("domain", F.filter(domains, lambda x: x != "")),
-        ("name", labels),
         ("path", named),
-        ("type", F.filter(F.array(F.lower(F.regexp_extract(path, r"\.(\w+)$", 1))), lambda x: x != "")),
+        ("type", F.filter(F.array(F.lower(F.regexp_extract(path, _TYPE, 1))), lambda x: x != "")),
         ("parameter", names),
         ("fragment", F.filter(F.array(F.regexp_extract(text, r"#(.*)$", 1)), lambda x: x != "")),
     ]
-    return F.array_distinct(F.concat(*[_prefixed(kind, values) for kind, values in kinds]))
+    return F.array_distinct(F.concat(labels, *[_prefixed(kind, values) for kind, values in kinds]))
 
 
 def _prefixed(kind: str, values: Column) -> Column:
@@ -70,6 +75,7 @@ def mine_rules(
     labels: DataFrame,
     *,
     min_support: float = MIN_SUPPORT,
+    min_pages: int = MIN_PAGES,
     min_confidence: float = MIN_CONFIDENCE,
     id_col: str = "page_id",
     url_col: str = "url",
@@ -77,24 +83,55 @@ def mine_rules(
     """Rules ``tokens, confidence, support``: combinations of URL tokens whose pages are mostly labelled bad.
 
     ``labels`` has ``id_col`` and ``bad`` (boolean); a page labelled twice is bad if any label says so. All labelled pages are transactions, their tokens and the label the items.
-    Of the rules that FP-growth finds, those that conclude a bad label stay, if they are confident and frequent enough, not too long, and no part of the combination
-    is a rule at least as confident. Without labelled pages, or bad ones among them, there are no rules. Pages without id or URL teach nothing.
+    A combination of any length is a rule if at least ``min_pages`` bad pages, and a share of ``min_support`` of all labelled ones, have it and are bad, if ``min_confidence``
+    of its pages are bad, and no part of it is a rule at least as confident. Of tokens that occur in just the same
+    labelled pages only the first in the alphabet is mined: the others would double the combinations and add no rule that stays.
+    Without labelled pages, or enough bad ones among them, there are no rules. Pages without id or URL teach nothing.
     """
     spark = pages.sparkSession
     known = labels.where(F.col(id_col).isNotNull() & F.col("bad").isNotNull()).groupBy(id_col).agg(F.max("bad").alias("bad"))
     known = known.withColumnRenamed(id_col, "_id")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url")).where("url is not null")
-    items = F.when(F.col("bad"), F.array_append(tokens_of(F.col("url")), F.lit(BAD))).otherwise(tokens_of(F.col("url")))
+    taught = materialised(
+        rows.join(known, F.col("id") == F.col("_id"))
+        .select(F.monotonically_increasing_id().alias("page"), "bad", tokens_of(F.col("url")).alias("tokens"))
+        .where(F.size("tokens") > 0),
+        "labelled",
+    )
+    n_pages = taught.count()
+    least = max(min_pages, math.ceil(min_support * n_pages), 1)
+    each = taught.select("page", "bad", F.explode("tokens").alias("token"))
+    # Sums of hashes tell sets of pages apart. A token of a rule is in `least` pages, so there are at most as many of
+    # them as tokens in 1 / min_support pages: few enough to broadcast, at any size of the tables.
+    same_pages = F.sum(F.xxhash64("page").cast("decimal(20,0)")).alias("pages")
+    tokens = (
+        each.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("n_bad"), same_pages)
+        .where(F.col("n_bad") >= least)
+        .groupBy("n", "pages")
+        .agg(F.min("token").alias("token"))
+        .select("token")
+    )
+    items = F.collect_list("token")
     transactions = materialised(
-        rows.join(known, F.col("id") == F.col("_id")).select(items.alias("items")).where(F.size("items") > 0), "transactions"
+        each.join(F.broadcast(tokens), "token")
+        .groupBy("page", "bad")
+        .agg(items.alias("items"))
+        .select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")),
+        "transactions",
     )
-    if not transactions.where(F.array_contains("items", BAD)).head(1):
+    n_mined = transactions.count()
+    if not n_mined:
         return spark.createDataFrame([], "tokens array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
+    # Half a page less, so that rounding cannot ask for one page more.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_mined, numPartitions=tasks_for(spark)).fit(transactions)
+    sets = materialised(model.freqItemsets, "itemsets")
+    bad = sets.where(F.array_contains("items", BAD)).select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("n_bad"))
+    alone = sets.where(~F.array_contains("items", BAD)).select(F.array_sort("items").alias("tokens"), "freq")
     found = materialised(
-        model.associationRules.where((F.col("consequent")[0] == BAD) & (F.size("antecedent") <= MAX_TOKENS)).select(
-            F.array_sort("antecedent").alias("tokens"), "confidence", "support"
-        ),
+        alone.join(bad, "tokens")
+        .select("tokens", (F.col("n_bad") / F.col("freq")).alias("confidence"), (F.col("n_bad") / n_pages).alias("support"))
+        .where(F.col("confidence") >= min_confidence),
         "rules",
     )
     # A part of a combination has its first token in common with the combination's tokens: they meet by token, not all with all.
@@ -112,15 +149,27 @@ def mine_rules(
     return found.join(redundant, "tokens", "left_anti")
 
 
+def _with_salt(found: DataFrame) -> DataFrame:
+    return found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt_of(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
 def matching_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The different URLs that have all tokens of a rule: ``url``, once.
 
-    The index leads from a token to the rules of which it is the rarest, so a token that nearly all URLs have leads to few. A URL's
-    tokens are looked up there, and only the rules found are compared whole.
+    Of a URL's tokens only those that rules have are kept, by a bitmap of fixed size, and URLs that are left with the same tokens are judged once. The index
+    leads from a token to the rules of which it is the rarest, so a token that nearly all URLs have leads to few; only the
+    rules found there are compared whole. A rule without tokens fits nothing.
     """
-    tokens = materialised(urls.select("url").where("url is not null").distinct().select("url", tokens_of(F.col("url")).alias("has")), "url-tokens")
-    each = tokens.select("url", "has", F.explode("has").alias("token"))
-    frequent = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    bits = key_bitmaps(rules.select(F.explode("tokens").alias("token")), ["token"])
+    each = urls.select("url").where("url is not null").distinct().select("url", F.explode(tokens_of(F.col("url"))).alias("token"))
+    each = with_bit(each, bits, ["token"], "_of_rule").where("_of_rule")
+    has = materialised(each.groupBy("url").agg(F.array_sort(F.collect_list("token")).alias("has")), "url-tokens")
+    kinds = materialised(has.groupBy("has").agg(F.count(F.lit(1)).alias("n")), "token-sets")
+    frequent = kinds.select("n", F.explode("has").alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
     rarest = W.partitionBy("tokens").orderBy("n", "token")
     index = (
         rules.select("tokens", F.explode("tokens").alias("token"))
@@ -129,7 +178,14 @@ def matching_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
         .where("_rank = 1")
         .select("token", "tokens")
     )
-    return each.join(index, "token").where(F.size(F.array_except("tokens", "has")) == 0).select("url").distinct()
+    fits = (
+        kinds.select("has", F.explode("has").alias("token"))
+        .join(index, "token")
+        .where(F.size(F.array_except("tokens", "has")) == 0)
+        .select("has")
+        .distinct()
+    )
+    return has.withColumn("_salt", _salt_of("url")).join(_with_salt(fits), ["has", "_salt"]).select("url")
 
 
 def listed(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -161,9 +217,9 @@ def judge_urls(
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     hit = matching_urls(rows, mined).withColumnRenamed("url", "_url")
-    # Rows of a URL that a third of all pages have are one large partition here, which adaptive execution splits. Null URLs get keys of their own.
+    # Rows of a URL that a third of all pages have are spread by their ids. Null URLs get keys of their own.
     own = F.coalesce("url", F.concat(F.lit("\0"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    joined = rows.join(hit, own == F.col("_url"), "left")
+    joined = rows.withColumn("_own", _salt_of("id")).join(_with_salt(hit), (own == F.col("_url")) & (F.col("_own") == F.col("_salt")), "left")
     named = joined.select(
         "id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("_url").isNotNull().alias("hit")
     ).withColumn("given", listed(F.col("host"), F.col("path"), rules))
