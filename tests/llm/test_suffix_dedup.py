@@ -86,6 +86,25 @@ def test_small_pieces_parts_and_hot_anchors(spark, monkeypatch):
     assert result(repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
 
 
+def test_parts_reached_in_rounds(spark, monkeypatch):
+    """With more parts than a batch is dealt out to, ranges are merged and dealt out again; no batch sends more rows."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 500)
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 3_000)
+    monkeypatch.setattr(suffix_dedup, "_SLICE_BYTES", 1_000)
+    monkeypatch.setattr(suffix_dedup, "FAN_OUT", 3)
+    rows = repeats(11)
+    parts = -(-sum(len(t.encode()) for _, t in rows) // 500)
+    assert len(suffix_dedup._rounds(parts)) >= 3
+    assert result(repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    assert all(sent.num_rows <= 3 for sent in suffix_dedup._finder(100, 3)(iter([batch])))
+
+
+def test_rounds():
+    assert suffix_dedup._rounds(1) == [1] and suffix_dedup._rounds(128) == [128]
+    assert suffix_dedup._rounds(129) == [128, 129] and suffix_dedup._rounds(100_000) == [128, 16_384, 100_000]
+
+
 def test_contexts_of_one_anchor_go_to_many_parts():
     """A line that stands between differing texts has a different context in each: no part gets them all."""
     texts = [prose(k, 20) + "\n" + "a line of seventy bytes or so that many different documents do share\n" + prose(5_000 + k, 20) for k in range(300)]

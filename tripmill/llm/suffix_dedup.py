@@ -15,6 +15,7 @@ from tripmill.llm._common import (
     mixed,
     powers,
     slices,
+    tasks_for,
     text_bytes,
     text_of,
 )
@@ -27,6 +28,10 @@ GRAM = 32
 BATCH_BYTES = 8 << 20
 PART_BYTES = 8 << 20
 
+#: Ranges that one batch, or what was merged of several, is dealt out to: more parts are reached in several rounds, so
+#: the rows sent in a round follow the number of batches and not its square.
+FAN_OUT = 128
+
 #: Bytes of contexts transformed together, and contexts of one anchor beyond which windows are compared one by one.
 SHARD_BYTES = 1 << 19
 HOT_CONTEXTS = 4_000
@@ -95,9 +100,6 @@ def _pieces(offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return begin, np.minimum(begin + _PIECE + length - 1, offsets[row + 1]), row, base
 
 
-_FIELDS = [("anchor", np.uint64), ("context", np.uint64), ("doc", np.int64), ("start", np.int64), ("count", np.int64)]
-
-
 def _firsts(rows: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Rows sorted by context, anchor, document and start; which are the first of their context, and which come after the first."""
     anchor, context, doc, start, _ = rows
@@ -127,35 +129,67 @@ def _merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return doc[new], start[new], furthest[last] - apart[last]
 
 
-def _finder(length: int, parts: int):
-    """Texts to rows for the parts: contexts (one of each kind in a batch), and places known to be repeats already."""
+def _rounds(parts: int) -> list[int]:
+    """Over how many ranges of contexts each round deals; the last round reaches the parts."""
+    ranges = [FAN_OUT]
+    while ranges[-1] < parts:
+        ranges.append(ranges[-1] * FAN_OUT)
+    return [*ranges[:-1], parts]
+
+
+#: What is sent to a range: contexts, one of each kind, and merged spans that are known to be repeats already.
+_SENT = [(name, "<u8") for name in ("anchor", "context")] + [("doc", "<i8"), ("start", "<u4"), ("count", "u1")]
+_KNOWN = [("later_doc", "<i8"), ("later_start", "<u4"), ("later_end", "<u4")]
+
+
+def _split(length: int, given: list[np.ndarray], known: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Contexts sorted, one of each kind, and the known repeats together with those among the contexts."""
+    rows, first, later = _firsts(given)
+    doc, start, count = (x[later] for x in rows[2:])
+    repeats = [doc, start, start + count + (length - 1)]
+    return [x[first] for x in rows], list(_merged(*[np.concatenate(c) for c in zip(known, repeats, strict=True)]))
+
+
+def _dealt(rows: list[np.ndarray], known: list[np.ndarray], ranges: int) -> pa.RecordBatch:
+    """Rows for the ranges that get any. By context: one anchor's contexts go to all ranges, however many there are; known repeats go evenly to the same ranges."""
+    if len(rows[3]) and rows[3].max() + 1000 >= 1 << 32:
+        raise ValueError("a text of over 4 GB")
+    part = ((rows[1] >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    parts, at = np.unique(part, return_index=True)
+    at = np.append(at, len(part))
+    shares = [np.array_split(x, max(len(parts), 1)) for x in known]
+    columns: list[list] = [[] for _ in _SENT + _KNOWN]
+    for p, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        sent = [*[x[lo:hi] for x in rows], *[share[p] for share in shares]]
+        for column, x, (_, kind) in zip(columns, sent, _SENT + _KNOWN, strict=True):
+            column.append(x.astype(kind).tobytes())
+    # Any number will do that spreads batches evenly and is the same when a task is run again.
+    batch = rows[1][:1].view(np.int64).repeat(len(parts))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(parts.astype(np.int64)), pa.array(batch), *[pa.array(c, pa.binary()) for c in columns]],
+        ["part", "batch", *[name for name, _ in _SENT + _KNOWN]],
+    )
+
+
+def _received(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def read(name: str, kind: str) -> np.ndarray:
+        x = np.concatenate([np.frombuffer(raw, kind) for raw in table[name].to_pylist()])
+        return x if kind.endswith("8") else x.astype(np.int64)
+
+    return [read(*field) for field in _SENT], [read(*field) for field in _KNOWN]
+
+
+def _finder(length: int, ranges: int):
+    """Texts to rows for the ranges of contexts. What a batch knows to repeat itself is not asked about again."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
 
         def full() -> pa.RecordBatch:
-            rows, first, later = _firsts([np.concatenate(c) for c in zip(*held, strict=True)])
-            edges = np.array([(p << 64) // parts for p in range(parts)], np.uint64)
-            # By context: one anchor's contexts go to all parts, however many there are.
-            at = np.append(np.searchsorted(rows[1], edges), len(rows[1]))
-            if len(rows[3]) and rows[3].max() + 1000 >= 1 << 32:
-                raise ValueError("a text of over 4 GB")
-            # What the batch knows to repeat itself goes to all parts evenly, merged: it is not asked about again.
-            doc, start, count = (x[later] for x in rows[2:])
-            known = _merged(doc, start, start + count + (length - 1))
-            shares = [np.array_split(x, parts) for x in known]
-            columns: list[list] = [[] for _ in range(8)]
-            for p, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                sent = [*[x[lo:hi][first[lo:hi]] for x in rows], *[share[p] for share in shares]]
-                kinds = ["<u8", "<u8", "<i8", "<u4", "u1", "<i8", "<u4", "<u4"]
-                for column, x, kind in zip(columns, sent, kinds, strict=True):
-                    column.append(x.astype(kind).tobytes())
+            rows, known = _split(length, [np.concatenate(c) for c in zip(*held, strict=True)], [np.zeros(0, np.int64)] * 3)
             held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(range(parts), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
-                ["part", "anchor", "context", "doc", "start", "count", "later_doc", "later_start", "later_end"],
-            )
+            return _dealt(rows, known, ranges)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -176,35 +210,28 @@ def _finder(length: int, parts: int):
     return found
 
 
+def _merger(length: int, ranges: int):
+    """What several batches sent to one range, merged and dealt out to the finer ranges of the next round."""
+
+    def merged(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_dealt(*_split(length, *_received(table)), ranges)])
+
+    return merged
+
+
 def _judge(length: int):
     """All contexts of a part: repeats of equal contexts, and one of each kind."""
 
     def judged(table: pa.Table) -> pa.Table:
-        def read(name: str, kind: str) -> np.ndarray:
-            parts = [np.frombuffer(raw, kind) for raw in table[name].to_pylist()]
-            return np.concatenate(parts)
-
-        given = [
-            read("anchor", "<u8"),
-            read("context", "<u8"),
-            read("doc", "<i8"),
-            read("start", "<u4").astype(np.int64),
-            read("count", "u1").astype(np.int64),
-        ]
-        (anchor, _, doc, start, count), first, later = _firsts(given)
-        old_doc, old_start, old_end = _merged(
-            np.concatenate([doc[later], read("later_doc", "<i8")]),
-            np.concatenate([start[later], read("later_start", "<u4").astype(np.int64)]),
-            np.concatenate([(start + count)[later] + (length - 1), read("later_end", "<u4").astype(np.int64)]),
-        )
-        n_old, n_kinds = len(old_doc), int(first.sum())
+        (anchor, _, doc, start, count), (old_doc, old_start, old_end) = _split(length, *_received(table))
+        n_old, n_kinds = len(old_doc), len(anchor)
         return pa.table(
             {
                 "kind": np.repeat([False, True], [n_old, n_kinds]),
-                "anchor": np.concatenate([np.zeros(n_old, np.int64), anchor[first].view(np.int64)]),
-                "id": np.concatenate([old_doc, doc[first]]),
-                "start": np.concatenate([old_start, start[first]]),
-                "end": np.concatenate([old_end, (start + count)[first] + (length - 1)]),
+                "anchor": np.concatenate([np.zeros(n_old, np.int64), anchor.view(np.int64)]),
+                "id": np.concatenate([old_doc, doc]),
+                "start": np.concatenate([old_start, start]),
+                "end": np.concatenate([old_end, start + count + (length - 1)]),
             }
         )
 
@@ -355,7 +382,8 @@ def repeated_passages(
 
     1. Each window gets an anchor, the least of its grams, so that equal windows meet without all windows being sent: contexts, one in some forty bytes.
     2. Parts of the space of contexts sort them. Equal ones are repeats but for the first; a batch sends each kind once, so no part
-       grows with a passage that all documents share, nor with an anchor that stands in many different contexts.
+       grows with a passage that all documents share, nor with an anchor that stands in many different contexts. A batch is dealt out to ``FAN_OUT``
+       ranges; where there are more parts, ranges of several batches are merged and dealt out again.
        Kinds are then counted by anchor, partial counts first. An anchor with one kind of context is settled.
     3. Of anchors with several kinds, one context of each kind is read and goes into a Burrows-Wheeler transform with others. Breadth-first backward
        extension gives common prefixes by increasing value and stops at ``length``; suffixes that are not parted by then
@@ -369,11 +397,15 @@ def repeated_passages(
     rows, total = _placed(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")))
     texts = rows.select(F.col("place").alias("id"), "text")
     parts = max(1, -(-total // PART_BYTES))
-    sent = ", ".join(f"{c} binary" for c in "anchor context doc start count later_doc later_start later_end".split())
+    sent = "part bigint, batch bigint, " + ", ".join(f"{name} binary" for name, _ in _SENT + _KNOWN)
+    first, *finer = rounds = _rounds(parts)
+    dealt = texts.mapInArrow(_finder(length, first), sent)
+    for coarse, ranges in zip(rounds, finer, strict=False):
+        # As many groups as parts in all, so each merges as much as a part holds.
+        group = F.pmod(F.xxhash64("batch"), F.lit(-(-parts // coarse))).alias("group")
+        dealt = dealt.groupBy("part", group).applyInArrow(_merger(length, ranges), sent)
     judged = materialised(
-        texts.mapInArrow(_finder(length, parts), f"part int, {sent}")
-        .groupBy("part")
-        .applyInArrow(_judge(length), "kind boolean, anchor bigint, id bigint, start bigint, end bigint"),
+        dealt.groupBy("part").applyInArrow(_judge(length), "kind boolean, anchor bigint, id bigint, start bigint, end bigint"),
         "contexts",
     )
     kinds = judged.where("kind").drop("kind")
@@ -396,7 +428,10 @@ def repeated_passages(
         transformed = (
             contexts.where("not hot")
             .drop("hot")
-            .groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"))
+            .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+            # With a number, adaptive execution does not merge them: a shard's time is far more than its bytes tell.
+            .repartition(min(shards, 4 * tasks_for(df.sparkSession)), "shard")
+            .groupBy("shard")
             .applyInArrow(_transformer(length), "id bigint, start bigint, end bigint")
         )
         one_by_one = _windows_one_by_one(contexts.where("hot"), length)
