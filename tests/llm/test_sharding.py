@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 from tests.llm.helpers import ODD, SCHEMA, empty, odd
+from tripmill.llm import sharding
 from tripmill.llm.sharding import schedule, shard_documents, spread
 
 
@@ -62,5 +63,23 @@ def test_many_small_groups_are_near_equal(spark):
     assert len(loads) == 16 and max(loads.values()) - min(loads.values()) <= 8
 
 
+def test_as_many_parts_as_groups_ask_for(spark, monkeypatch):
+    """All groups of one size, and some of others, in few and in many parts: each group in one shard, loads near equal, all rows there."""
+    monkeypatch.setattr(sharding, "SALTS", 2)
+    rows = [(i, f"{i:05d}") for i in range(900)] + [(900 + i, f"{i:09d}") for i in range(100)] + [(5, "00005")]
+    for slot_rows in (7, 400, 5_000):
+        monkeypatch.setattr(sharding, "SLOT_ROWS", slot_rows)
+        got = shard_documents(spark.createDataFrame(rows, SCHEMA), 7).collect()
+        assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+        shards, loads, slots = defaultdict(set), defaultdict(int), defaultdict(list)
+        for r in got:
+            shards[r.group_key].add(r.shard)
+            loads[r.shard] += r.size
+            slots[r.shard].append(r.slot)
+        assert all(len(s) == 1 for s in shards.values())
+        assert len(loads) == 7 and max(loads.values()) - min(loads.values()) <= 10
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_empty_table(spark):
     assert shard_documents(empty(spark), 4).collect() == []

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 
 from tripmill.llm._common import materialised, text_of
 
-#: Groups of one size are numbered in so many parts, so that no size is one task.
+#: Groups of one size are numbered in so many parts at least, so that no size is one task.
 SALTS = 64
 
 #: Rows that one task numbers within its shard, on average.
@@ -63,10 +63,11 @@ def shard_groups(groups: DataFrame, shards: int, *, key: str, size: str) -> Data
     alike. That histogram is all that reaches the driver. Its length has a proven bound: D different sizes
     sum up to at least D²/2, so D is at most the root of twice all bytes, and in practice about the
     number of different text lengths. Which of the groups of a size go where is decided by their rank, which
-    is counted in salted parts.
+    is counted in salted parts, as many as the number of groups asks for.
     """
     spark = groups.sparkSession
-    salted = groups.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    salts = max(SALTS, -(-groups.count() // SLOT_ROWS))
+    salted = groups.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
     parts = salted.groupBy(size, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     histogram = parts.groupBy(size).agg(F.sum("_n").alias("_n")).toArrow()
     plan = schedule(list(zip(histogram[size].to_pylist(), histogram["_n"].to_pylist(), strict=True)), shards)
@@ -77,15 +78,21 @@ def shard_groups(groups: DataFrame, shards: int, *, key: str, size: str) -> Data
     before = F.coalesce(
         F.sum("_n").over(W.partitionBy(size).orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
     )
-    offsets = parts.select(F.col(size).alias("_osize"), F.col("_salt").alias("_osalt"), before.alias("_before"))
-    ranked = (
-        salted.withColumn("_rank", F.row_number().over(W.partitionBy(size, "_salt").orderBy(key)) - 1)
-        .join(offsets, (F.col(size) == F.col("_osize")) & (F.col("_salt") == F.col("_osalt")))
-        .withColumn("_rank", F.col("_rank") + F.col("_before"))
-    )
+    offsets = parts.select(F.col(size).alias("_osize"), F.col("_salt").alias("_osalt"), before.alias("_before"), "_n")
     place = spark.createDataFrame(table)
-    here = (F.col(size) == F.col("_size")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end"))
-    return ranked.join(place, here).select(*groups.columns, F.col("shard").cast("int"))
+    # Ranges of ranks are looked up by part, so groups of one size do not meet in one task.
+    met = (F.col("_osize") == F.col("_size")) & (F.col("_first") < F.col("_before") + F.col("_n")) & (F.col("_end") > F.col("_before"))
+    spans = offsets.join(place, met).select(
+        "_osize", "_osalt", "shard", (F.col("_first") - F.col("_before")).alias("_from"), (F.col("_end") - F.col("_before")).alias("_to")
+    )
+    ranked = salted.withColumn("_rank", F.row_number().over(W.partitionBy(size, "_salt").orderBy(key)) - 1)
+    here = (
+        (F.col(size) == F.col("_osize"))
+        & (F.col("_salt") == F.col("_osalt"))
+        & (F.col("_rank") >= F.col("_from"))
+        & (F.col("_rank") < F.col("_to"))
+    )
+    return ranked.join(spans, here).select(*groups.columns, F.col("shard").cast("int"))
 
 
 def shard_documents(df: DataFrame, shards: int = 16, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
