@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 
 from tests.llm.helpers import ODD, SCHEMA, empty, odd, prose
-from tripmill.llm import near_dedup
+from tripmill.llm import _common, near_dedup
 from tripmill.llm.components import components
 from tripmill.llm.near_dedup import bands_for, near_duplicates
 
@@ -89,6 +89,16 @@ def test_empty_table(spark):
     assert near_duplicates(empty(spark)).collect() == []
 
 
+def test_all_but_one_key_outside_the_heaviest(spark, monkeypatch):
+    """What is known comes to rows by broadcast for one class, and by their key for the others, which are in it once."""
+    monkeypatch.setattr(_common, "HEAVIEST", 1)
+    rows = [(i, prose(3, 40)) for i in range(12)] + [(20 + i, prose(30 + i % 4, 40)) for i in range(9)] + [(40, None), (41, " ")]
+    assert result(near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4))) == brute(rows)
+    star = [(0, i) for i in range(1, 30)] + [(50, 51), (51, 52), (60, 60)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(star, "a bigint, b bigint")).collect()}
+    assert got == dict.fromkeys(range(30), 0) | dict.fromkeys((50, 51, 52), 50) | {60: 60}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (102, 100), (200, 200), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

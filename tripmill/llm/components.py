@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm._common import materialised
+from tripmill.llm._common import materialised, with_known
 
 MAX_ROUNDS = 60
 
@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round brings neighbours closer to the smallest node of theirs; rounds grow with the logarithm of the
     longest path. A round is written to the shared folder, so lineage stays short and a lost executor costs a round
-    at most. Nodes stay distributed; only a count and a checksum reach the driver. Edges of a node to itself
+    at most. The nodes with most neighbours are broadcast to them, a bounded number. Nodes stay distributed; only a count and a checksum reach the driver. Edges of a node to itself
     are kept as that node alone; edges with a null are dropped, they join nothing.
     """
     now = materialised(
@@ -32,9 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         # Large star: larger neighbours go to the smallest of the neighbourhood.
         both = now.union(now.where("u <> v").select(F.col("v"), F.col("u"))).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        least = (
+            both.groupBy("u")
+            .agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+            .select(F.col("u").alias("k"), F.least("u", "m").alias("m"), "n")
+        )
         large = (
-            both.join(least, F.col("u") == F.col("k"))
+            with_known(both, least, "u", "k", "n")
             .where("v >= u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()

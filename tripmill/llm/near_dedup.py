@@ -21,6 +21,7 @@ from tripmill.llm._common import (
     text_bytes,
     text_of,
     with_bit,
+    with_known,
     words,
 )
 from tripmill.llm.components import components
@@ -262,9 +263,15 @@ def near_duplicates(
             F.col("node").alias("_c"),
             F.when(F.col("_n").isNull(), F.col("rep")).otherwise(F.col("class_id")).alias("class_id"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            "copies",
         )
     )
-    result = signed.select("id", "node").join(per_class, F.col("node") == F.col("_c"), "left")
+    per_class = materialised(per_class, "classes-found")
+    members = signed.select("id", "node")
+    # Rows without words are in no class, and do not meet at the null key.
+    result = with_known(members.where("node is not null"), per_class, "node", "_c", "copies").unionByName(
+        members.where("node is null"), allowMissingColumns=True
+    )
     class_id = F.when(F.col("_c").isNull(), F.col("id")).otherwise(F.col("class_id"))
     return result.select(
         F.col("id").alias(id_col),
