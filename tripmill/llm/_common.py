@@ -102,19 +102,6 @@ def with_bit(df: DataFrame, bitmaps: DataFrame, keys: Sequence[str], name: str)
     )
 
 
-#: So many of the heaviest keys are broadcast to their rows. No other key has more than this part of all rows.
-HEAVIEST = 1000
-
-
-def with_known(rows: DataFrame, known: DataFrame, row_key: str, key: str, weight: str, how: str = "inner") -> DataFrame:
-    """Join rows with what is known of their key, one row a key in ``known``. What is known of the keys with the
-    largest weights, their numbers of rows, comes to their rows, so these do not meet in one task."""
-    heaviest = known.orderBy(F.desc(weight), key).limit(HEAVIEST)
-    heavy = rows.join(F.broadcast(heaviest), F.col(row_key) == F.col(key))
-    rest = rows.join(F.broadcast(heaviest.select(F.col(key).alias("_heavy"))), F.col(row_key) == F.col("_heavy"), "left_anti")
-    return heavy.unionByName(rest.join(known, F.col(row_key) == F.col(key), how))
-
-
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, one after the other, and the offsets of its rows. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
