@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tripmill.functions.trips import enrich, with_date
-from tripmill.operators import documents, table
+from tripmill.operators import documents, layout, table
 from tripmill.operators.documents import document_schema
 from tripmill.operators.layout import cluster
 from tripmill.plans.queries import derive_trips
@@ -92,6 +92,24 @@ def test_one_shuffle_on_the_key_for_a_write(spark, trips_table, capfd):
     assert "REBALANCE_PARTITIONS_BY_COL" in text
 
 
+def test_rows_of_a_whole_file_are_streamed_to_their_partitions(spark, tmp_path, capfd, monkeypatch):
+    paths = [str(tmp_path / name) for name in ("one", "two")]
+    for path in paths:
+        derive_trips(spark, SF_DIR).drop("trip_id").coalesce(1).write.option("header", True).csv(path, compression="gzip")
+
+    def partitions(read):
+        text = plan(cluster(with_date(read_csv(spark, read)), "date", rows_per_task=100), capfd)
+        assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 1
+        return int(re.search(r"hashpartitioning\(.*, (\d+)\), REBALANCE_PARTITIONS_BY_COL", text)[1])
+
+    # Up to so many a map task gathers no rows: it would hold all of the file.
+    streamed = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    assert 1 < partitions(paths[:1]) <= streamed
+    assert 1 < partitions(paths) <= streamed
+    monkeypatch.setattr(layout, "STREAMED_PARTITIONS", 1)
+    assert partitions(paths) == layout.PARTITIONS
+
+
 def test_checked_read_casts_in_one_pass(spark, tmp_path, capfd):
     path = str(tmp_path / "csv")
     derive_trips(spark, SF_DIR).drop("trip_id").write.option("header", True).csv(path)

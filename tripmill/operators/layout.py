@@ -12,6 +12,10 @@ from tripmill.functions.names import quote
 # Partitions left small are merged.
 PARTITIONS = 2000
 
+# To so many partitions, by default, a map task writes a stream each and holds no rows (spark.shuffle.sort.bypassMergeThreshold).
+# To more it gathers its rows and sorts them, as many as its memory takes.
+STREAMED_PARTITIONS = 200
+
 # What a map task that reads a whole file gives to one task that writes, at most: some 256 MB of trips as text.
 ROWS_PER_TASK = 2_000_000
 
@@ -31,6 +35,10 @@ def cluster(df: DataFrame, *columns: str, rows_per_task: int | None = None) -> D
     that does not split. With ``rows_per_task`` the key is salted by the row's position in its map task, so many rows at a time:
     such a key goes to as many tasks, and a small one in such a file gets a file for each stretch of it that has some. Positions are those
     in the input's files, so here too a task that runs again gives the same rows.
+
+    A map task that reads a whole file has as many rows as the file. So with ``rows_per_task``, and up to ``STREAMED_PARTITIONS`` input
+    files, rows are dealt to as many partitions, which map tasks write without gathering rows: what a task holds is then what a write task
+    sorts. Of more files keys would share partitions that are cut up, so there the many partitions stay, and map tasks that outgrow their memory spill.
     """
     keys = [quote(name) for name in columns]
     if rows_per_task is None:
@@ -38,4 +46,5 @@ def cluster(df: DataFrame, *columns: str, rows_per_task: int | None = None) -> D
     # The id counts a task's rows in its lower 33 bits.
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     salted = df.withColumn(_SALT, F.floor(position / F.lit(rows_per_task)))
-    return salted.hint("rebalance", PARTITIONS, *keys, _SALT).drop(_SALT)
+    partitions = STREAMED_PARTITIONS if 0 < len(df.inputFiles()) <= STREAMED_PARTITIONS else PARTITIONS
+    return salted.hint("rebalance", partitions, *keys, _SALT).drop(_SALT)
